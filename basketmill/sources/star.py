@@ -15,7 +15,7 @@ from basketmill.schema import INVOICE_COLUMNS, PRICE_TYPE
 from basketmill.sources.lines import LineSource, added_up
 
 PRODUCT_COLUMNS = {"description", "unit_price", "line_amount"}
-HEADER_COLUMNS = {"customer_id", "country", "invoice_ts", "invoice_date", "sale_month", "sale_hour"}
+HEADER_COLUMNS = {"customer_id", "country", "invoice_ts", "invoice_date"}
 
 
 class StarSource(LineSource):
@@ -86,6 +86,8 @@ class StarSource(LineSource):
             lines = lines.join(self._parts(), "part_key", "left")
         if wanted & HEADER_COLUMNS:
             lines = lines.join(self._headers(wanted), "order_key", "left")
+            # Raw dates are text, as in a file.
+            lines = lines.withColumn("invoice_date", F.col("invoice_ts").cast("string"))
         return lines.withColumns(self._line_keys()).select(*columns)
 
     def _kept_items(self) -> DataFrame:

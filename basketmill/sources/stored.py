@@ -1,21 +1,33 @@
-"""Layers that were written as tables."""
+"""Lines whose sums per invoice were written as a table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from basketmill.operators.staging import stage
 from basketmill.schema import INVOICE_COLUMNS
-from basketmill.sources.lines import FrameSource, added_up
+from basketmill.sources.lines import LineSource, added_up
 
 
-class StoredSource(FrameSource):
-    """Stored raw and detail tables, plus the stored sums per invoice that most jobs can start from."""
+class InvoiceSource(LineSource):
+    """Starts sums over invoice attributes from stored invoice sums instead of from lines."""
 
-    def __init__(self, raw: DataFrame, detail: DataFrame, invoices: DataFrame):
-        super().__init__(raw, detail)
+    def __init__(self, lines: LineSource, invoices: DataFrame):
+        self._lines = lines
         self._invoices = invoices
 
+    def raw(self, *columns: str) -> DataFrame:
+        return self._lines.raw(*columns)
+
+    def detail(self, *columns: str) -> DataFrame:
+        return self._lines.detail(*columns)
+
     def spend_by(self, *keys: str) -> DataFrame:
-        if not set(keys) <= set(INVOICE_COLUMNS):
-            return super().spend_by(*keys)
-        return added_up(self._invoices, *keys)
+        if set(keys) <= set(INVOICE_COLUMNS):
+            return added_up(self._invoices, *keys)
+        return self._lines.spend_by(*keys)
+
+
+def with_staged_invoices(lines: LineSource) -> InvoiceSource:
+    """Write the invoice sums of a source once, for running many jobs over it."""
+    return InvoiceSource(lines, stage(lines.spend_by(*INVOICE_COLUMNS), "invoices"))
