@@ -1,4 +1,4 @@
-"""Month and hour keys, date parsing and month offsets."""
+"""Month and hour keys, date parsing and month offsets. None of them depends on the session time zone."""
 
 from __future__ import annotations
 
@@ -9,19 +9,19 @@ from pyspark.sql import functions as F
 DAYS_PER_MONTH = 30.44
 
 
-def month_key(day: Column) -> Column:
-    """`yyyy-MM` text of a date or timestamp."""
-    return F.date_format(day, "yyyy-MM")
+def month_start(day: Column) -> Column:
+    """First day of the month: a month key that sorts, groups and subtracts as a plain date."""
+    return F.trunc(day, "month")
 
 
-def hour_key(ts: Column) -> Column:
-    """Two-digit hour text of a timestamp."""
-    return F.date_format(ts, "HH")
+def month_text(month: Column) -> Column:
+    """`yyyy-MM` text of a date."""
+    return F.substring(month.cast("string"), 1, 7)
 
 
-def month_start(month: Column) -> Column:
-    """First day of a `yyyy-MM` month."""
-    return F.to_date(F.concat(month, F.lit("-01")))
+def hour_text(hour: Column) -> Column:
+    """Two-digit text of an hour number."""
+    return F.lpad(hour.cast("string"), 2, "0")
 
 
 def parse_invoice_ts(text: Column) -> Column:
@@ -31,14 +31,14 @@ def parse_invoice_ts(text: Column) -> Column:
 
 
 def mean_month_offset(cohort_month: Column, activity_month: Column) -> Column:
-    """Days between the month starts over the mean month length, truncated.
+    """Days between two month starts over the mean month length, truncated.
 
     This folds some neighbouring months together (February -> March is offset 0).
     """
-    days = F.datediff(month_start(activity_month), month_start(cohort_month))
-    return (days / F.lit(DAYS_PER_MONTH)).cast("int")
+    return (F.datediff(activity_month, cohort_month) / F.lit(DAYS_PER_MONTH)).cast("int")
 
 
 def calendar_month_offset(cohort_month: Column, activity_month: Column) -> Column:
-    """Whole calendar months between two `yyyy-MM` months."""
-    return F.months_between(month_start(activity_month), month_start(cohort_month)).cast("int")
+    """Whole calendar months between two month starts."""
+    years = F.year(activity_month) - F.year(cohort_month)
+    return years * 12 + F.month(activity_month) - F.month(cohort_month)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketmill.functions.calendar import hour_key, month_key, parse_invoice_ts
+from basketmill.functions.calendar import month_start, parse_invoice_ts
 from basketmill.functions.text import normalise_product
 from basketmill.schema import DETAIL_COLUMNS
 
@@ -23,9 +23,10 @@ def line_amount() -> Column:
 
 
 def date_columns() -> dict[str, Column]:
-    """Columns derived from `invoice_ts`. The time of day is kept in `sale_hour`."""
+    """Columns derived from `invoice_ts`: the date, the first day of its month, and the hour of day."""
     ts = F.col("invoice_ts")
-    return {"invoice_date": F.to_date(ts), "sale_month": month_key(ts), "sale_hour": hour_key(ts)}
+    day = ts.cast("date")
+    return {"invoice_date": day, "sale_month": month_start(day), "sale_hour": F.hour(ts)}
 
 
 def with_invoice_ts(raw: DataFrame, on_bad_date: str = "raise") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketmill.functions.calendar import calendar_month_offset, mean_month_offset
+from basketmill.functions.calendar import calendar_month_offset, mean_month_offset, month_text
 from basketmill.functions.numeric import percent
 from basketmill.operators.customers import with_first_month
 from basketmill.operators.staging import stage
@@ -16,18 +16,17 @@ from basketmill.sources.lines import LineSource
 
 def _retention(source: LineSource, month_offset: Callable[[Column, Column], Column]) -> DataFrame:
     customer_months = with_first_month(source.spend_by("customer_id", "sale_month"))
-    # Month pairs first: offsets are worked out for a few thousand rows, not for every customer month.
-    pairs = customer_months.groupBy("first_month", "sale_month").agg(F.count("*").alias("customers"))
     counts = (
-        pairs.withColumn("month_offset", month_offset(F.col("first_month"), F.col("sale_month")))
+        customer_months.withColumn("month_offset", month_offset(F.col("first_month"), F.col("sale_month")))
         .filter(F.col("month_offset") >= 0)
-        .groupBy(F.col("first_month").alias("cohort_month"), "month_offset")
-        .agg(F.sum("customers").alias("active_users"))
+        .groupBy("first_month", "month_offset")
+        .agg(F.count("*").alias("active_users"))
     )
     # Every cohort has offset 0, the month that defines it.
     starters = F.max(F.when(F.col("month_offset") == 0, F.col("active_users")))
     return (
-        counts.withColumn("cohort_size", starters.over(Window.partitionBy("cohort_month")))
+        counts.withColumn("cohort_size", starters.over(Window.partitionBy("first_month")))
+        .withColumn("cohort_month", month_text(F.col("first_month")))
         .withColumn("retention_rate", percent(F.col("active_users"), F.col("cohort_size"), 1))
         .select("cohort_month", "month_offset", "active_users", "cohort_size", "retention_rate")
         .orderBy("cohort_month", "month_offset")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketmill.functions.calendar import month_text
 from basketmill.functions.numeric import money, percent
 from basketmill.sources.lines import LineSource
 
@@ -21,7 +22,12 @@ def monthly_top_products(source: LineSource, top: int = 3) -> DataFrame:
     return (
         revenue.withColumn("rank_in_month", F.row_number().over(best_first))
         .filter(F.col("rank_in_month") <= top)
-        .select("sale_month", "rank_in_month", "product_name", money(F.col("revenue")).alias("monthly_revenue"))
+        .select(
+            month_text(F.col("sale_month")).alias("sale_month"),
+            "rank_in_month",
+            "product_name",
+            money(F.col("revenue")).alias("monthly_revenue"),
+        )
         .orderBy("sale_month", "rank_in_month")
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketmill.functions.calendar import hour_text, month_text
 from basketmill.functions.labels import customer_type, price_band
 from basketmill.functions.numeric import money, ratio, round_half_up
 from basketmill.operators.customers import with_first_month
@@ -22,7 +23,7 @@ def month_over_month(monthly: DataFrame) -> DataFrame:
     return (
         monthly.withColumn("prev", F.lag("gmv").over(by_month))
         .select(
-            "sale_month",
+            month_text(F.col("sale_month")).alias("sale_month"),
             gmv.cast("double").alias("current_gmv"),
             previous.cast("double").alias("prev_month_gmv"),
             round_half_up(change, 2).alias("mom_growth_pct"),
@@ -41,7 +42,7 @@ def monthly_revenue(source: LineSource) -> DataFrame:
     """Unrounded revenue per month."""
     return (
         source.spend_by("sale_month")
-        .select(F.col("sale_month").alias("Month"), F.col("spend").cast("double").alias("MonthlyRevenue"))
+        .select(month_text(F.col("sale_month")).alias("Month"), F.col("spend").cast("double").alias("MonthlyRevenue"))
         .orderBy("Month")
     )
 
@@ -57,7 +58,7 @@ def customer_running_spend(source: LineSource, ordered: bool = False) -> DataFra
     monthly = source.spend_by("customer_id", "sale_month").withColumn("spend", F.round("spend", 2))
     running = monthly.withColumn("running", F.sum("spend").over(to_date)).select(
         F.col("customer_id").alias("CustomerID"),
-        F.col("sale_month").alias("order_month"),
+        month_text(F.col("sale_month")).alias("order_month"),
         F.col("spend").cast("double").alias("monthly_spend"),
         money(F.col("running")).alias("cumulative_spend"),
     )
@@ -70,8 +71,9 @@ def new_vs_returning_gmv(source: LineSource) -> DataFrame:
     # One row per customer and month, so rows are customers.
     return (
         customer_months.withColumn("customer_type", customer_type(F.col("sale_month"), F.col("first_month")))
-        .groupBy(F.col("sale_month").alias("order_month"), "customer_type")
+        .groupBy("sale_month", "customer_type")
         .agg(money(F.sum("spend")).alias("gmv"), F.count("*").alias("user_count"))
+        .select(month_text(F.col("sale_month")).alias("order_month"), "customer_type", "gmv", "user_count")
         .orderBy("order_month", "customer_type")
     )
 
@@ -104,8 +106,9 @@ def hourly_order_volume(source: LineSource) -> DataFrame:
     """Invoices per hour of the day."""
     return (
         source.spend_by("sale_hour", "invoice_no")
-        .groupBy(F.col("sale_hour").alias("Hour"))
+        .groupBy("sale_hour")
         .agg(F.count("invoice_no").alias("OrderVolume"))
+        .select(hour_text(F.col("sale_hour")).alias("Hour"), "OrderVolume")
         .orderBy("Hour")
     )
 

@@ -31,8 +31,8 @@ def customer_measures(source: LineSource) -> DataFrame:
     )
 
 
-def rfm_customers(source: LineSource) -> DataFrame:
-    """Measures, 1-5 scores, weighted score and segment of every customer.
+def scored_customers(source: LineSource) -> DataFrame:
+    """Measures, 1-5 scores and segment of every customer.
 
     Recency counts days up to the day after the last sale; fewer days score higher, so the score
     follows the last date upwards. Equal values score by customer id.
@@ -49,15 +49,27 @@ def rfm_customers(source: LineSource) -> DataFrame:
         SCORES,
     )
     today = measures.select(F.date_add(F.max("last_date"), 1)).scalar()
-    weighted = sum((F.col(score) * F.lit(weight).cast("decimal(3,2)") for score, weight in WEIGHTS.items()), F.lit(0))
     return scored.select(
-        F.col("customer_id").alias("CustomerID"),
+        "customer_id",
         F.datediff(today, F.col("last_date")).alias("recency_days"),
         "frequency",
+        "monetary",
+        *WEIGHTS,
+        segment(*[F.col(score) for score in WEIGHTS]).alias("user_segment"),
+    )
+
+
+def rfm_customers(source: LineSource) -> DataFrame:
+    """Measures, scores, weighted score and segment of every customer."""
+    weighted = sum((F.col(score) * F.lit(weight).cast("decimal(3,2)") for score, weight in WEIGHTS.items()), F.lit(0))
+    return scored_customers(source).select(
+        F.col("customer_id").alias("CustomerID"),
+        "recency_days",
+        "frequency",
         F.col("monetary").cast("double").alias("monetary"),
         *WEIGHTS,
         F.round(weighted, 2).cast("double").alias("rfm_score"),
-        segment(*[F.col(score) for score in WEIGHTS]).alias("user_segment"),
+        "user_segment",
     )
 
 
@@ -69,11 +81,11 @@ def rfm_customer_detail(source: LineSource, top: int = 50) -> DataFrame:
 def rfm_segments(source: LineSource) -> DataFrame:
     """Size, revenue and mean measures of each segment, with shares of the total."""
     grouped = (
-        rfm_customers(source)
+        scored_customers(source)
         .groupBy("user_segment")
         .agg(
-            F.count("CustomerID").alias("user_count"),
-            F.sum(F.col("monetary").cast("decimal(32,2)")).alias("gmv"),
+            F.count("customer_id").alias("user_count"),
+            F.sum("monetary").alias("gmv"),
             F.sum("frequency").alias("frequency"),
             F.sum("recency_days").alias("recency_days"),
             F.count("recency_days").alias("dated_users"),

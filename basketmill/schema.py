@@ -47,8 +47,8 @@ DETAIL_SCHEMA = T.StructType(
         T.StructField("quantity", T.IntegerType()),
         T.StructField("invoice_ts", T.TimestampNTZType()),
         T.StructField("invoice_date", T.DateType()),
-        T.StructField("sale_month", T.StringType()),
-        T.StructField("sale_hour", T.StringType()),
+        T.StructField("sale_month", T.DateType()),
+        T.StructField("sale_hour", T.IntegerType()),
         T.StructField("unit_price", PRICE_TYPE),
         T.StructField("customer_id", T.LongType()),
         T.StructField("country", T.StringType()),
