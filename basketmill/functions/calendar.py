@@ -1,4 +1,4 @@
-"""Month and hour keys, date parsing and month offsets. None of them depends on the session time zone."""
+"""Month and hour texts, date parsing and month offsets."""
 
 from __future__ import annotations
 
@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 DAYS_PER_MONTH = 30.44
 
 
-def month_start(day: Column) -> Column:
-    """First day of the month: a month key that sorts, groups and subtracts as a plain date."""
-    return F.trunc(day, "month")
-
-
 def month_text(month: Column) -> Column:
     """`yyyy-MM` text of a date."""
     return F.substring(month.cast("string"), 1, 7)

@@ -2,41 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketmill.functions.calendar import month_start, parse_invoice_ts
+from basketmill.functions.calendar import parse_invoice_ts
 from basketmill.functions.text import normalise_product
 from basketmill.schema import DETAIL_COLUMNS
 
+HAS_CUSTOMER = "customer_id IS NOT NULL"
+HAS_POSITIVE_MEASURES = "quantity > 0 AND unit_price > 0"
+IS_KEPT = f"{HAS_CUSTOMER} AND {HAS_POSITIVE_MEASURES}"
+LINE_AMOUNT = "quantity * unit_price"
 
-def has_customer() -> Column:
-    return F.col("customer_id").isNotNull()
-
-
-def has_positive_measures() -> Column:
-    return (F.col("quantity") > 0) & (F.col("unit_price") > 0)
-
-
-def line_amount() -> Column:
-    return F.col("quantity") * F.col("unit_price")
-
-
-def date_columns() -> dict[str, Column]:
-    """Columns derived from `invoice_ts`: the date, the first day of its month, and the hour of day."""
-    ts = F.col("invoice_ts")
-    day = ts.cast("date")
-    return {"invoice_date": day, "sale_month": month_start(day), "sale_hour": F.hour(ts)}
+# The date, the first day of its month (a month key that sorts, groups and subtracts as a plain
+# date), and the hour of day. None of them depends on the session time zone.
+DATE_COLUMNS = {
+    "invoice_date": "CAST(invoice_ts AS DATE)",
+    "sale_month": "trunc(CAST(invoice_ts AS DATE), 'month')",
+    "sale_hour": "hour(invoice_ts)",
+}
 
 
 def with_invoice_ts(raw: DataFrame, on_bad_date: str = "raise") -> DataFrame:
-    """Parse the date text of a raw file line, unless the source already has a timestamp.
+    """Parse the date text of a raw line.
 
     A text that is no date fails the job ("raise"), or keeps the line with a NULL date ("null").
     A missing text is always a NULL date.
     """
-    if "invoice_ts" in raw.columns:
-        return raw
     text = F.col("invoice_date")
     ts = parse_invoice_ts(text)
     if on_bad_date == "raise":
@@ -47,17 +39,15 @@ def with_invoice_ts(raw: DataFrame, on_bad_date: str = "raise") -> DataFrame:
 
 def clean_lines(raw: DataFrame, on_bad_date: str = "raise", dedup: bool = False) -> DataFrame:
     """Lines with a customer and a positive quantity and price, with normalised and derived columns."""
-    kept = with_invoice_ts(raw.filter(has_customer() & has_positive_measures()), on_bad_date)
-    cleaned = (
-        kept.withColumns(date_columns())
-        .withColumns({"description": normalise_product(F.col("description")), "line_amount": line_amount()})
-        .select(DETAIL_COLUMNS)
-    )
+    derived = {name: F.expr(value) for name, value in DATE_COLUMNS.items()} | {
+        "description": normalise_product(F.col("description")),
+        "line_amount": F.expr(LINE_AMOUNT),
+    }
+    cleaned = with_invoice_ts(raw.filter(IS_KEPT), on_bad_date).withColumns(derived).select(DETAIL_COLUMNS)
     return cleaned.dropDuplicates() if dedup else cleaned
 
 
 def bad_date_lines(raw: DataFrame) -> DataFrame:
     """Kept lines of a raw file whose date text is present but is no date."""
-    kept = raw.filter(has_customer() & has_positive_measures())
     text = F.col("invoice_date")
-    return kept.filter(text.isNotNull() & parse_invoice_ts(text).isNull())
+    return raw.filter(IS_KEPT).filter(text.isNotNull() & parse_invoice_ts(text).isNull())

@@ -6,16 +6,17 @@ from pyspark.sql import SparkSession
 
 DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Recording the Python call site of every column expression slows plan building down.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Runtime re-planning: small sides become broadcasts only after their size is
     # measured, hot join keys are split, and small shuffle partitions are merged.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Merge down to what the data needs rather than up to one partition per core.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
 
 

@@ -11,14 +11,14 @@ from basketmill.operators.cleaning import clean_lines
 def summed_lines(detail: DataFrame, *keys: str) -> DataFrame:
     """Sum, number and last date of cleaned lines per distinct `keys`."""
     return detail.groupBy(*keys).agg(
-        F.sum("line_amount").alias("spend"), F.count("*").alias("line_count"), F.max("invoice_date").alias("last_date")
+        F.expr("sum(line_amount) AS spend"), F.expr("count(*) AS line_count"), F.expr("max(invoice_date) AS last_date")
     )
 
 
 def added_up(sums: DataFrame, *keys: str) -> DataFrame:
     """Sums per finer keys, added up to `keys`."""
     return sums.groupBy(*keys).agg(
-        F.sum("spend").alias("spend"), F.sum("line_count").alias("line_count"), F.max("last_date").alias("last_date")
+        F.expr("sum(spend) AS spend"), F.expr("sum(line_count) AS line_count"), F.expr("max(last_date) AS last_date")
     )
 
 

@@ -6,15 +6,47 @@ quantity, lines without a price, invoices without a customer and untrimmed produ
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketmill.functions.text import normalise_product
-from basketmill.operators.cleaning import date_columns, has_customer, has_positive_measures, line_amount
+from basketmill.operators.cleaning import DATE_COLUMNS, HAS_CUSTOMER, HAS_POSITIVE_MEASURES, LINE_AMOUNT
 from basketmill.schema import INVOICE_COLUMNS, PRICE_TYPE
 from basketmill.sources.lines import LineSource, added_up
 
-PRODUCT_COLUMNS = {"description", "unit_price", "line_amount"}
+# Columns read from each table. Stating them saves the job that would look them up in the files.
+TABLE_COLUMNS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_returnflag string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_retailprice double",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint",
+}
+
+# Line items; a return has a negative quantity.
+ITEMS = [
+    "l_orderkey AS order_key",
+    "l_partkey AS part_key",
+    "coalesce(l_returnflag = 'R', false) AS returned",
+    "CAST(if(l_returnflag = 'R', -abs(l_quantity), l_quantity) AS INT) AS quantity",
+]
+# Products; every 97th has no price. The scaling spreads invoices over all price bands.
+PRICE = f"CAST(if(p_partkey % 97 = 0, 0, CAST(p_retailprice AS DECIMAL(12, 2)) * 0.01BD) AS {PRICE_TYPE.simpleString()})"
+PARTS = ["p_partkey AS part_key", "concat('  ', p_name, ' ') AS description", f"{PRICE} AS unit_price"]
+# Invoice headers; every 7th has no customer.
+HEADERS = [
+    "o_orderkey AS order_key",
+    "o_custkey AS cust_key",
+    "if(o_orderkey % 7 = 0, NULL, o_custkey) AS customer_id",
+    "o_orderdate AS invoice_ts",
+]
+LINE_KEYS = {
+    "invoice_no": "if(returned, concat('C', order_key), CAST(order_key AS STRING)) AS invoice_no",
+    "stock_code": "CAST(part_key AS STRING) AS stock_code",
+}
+
+PRODUCT_COLUMNS = {"description", "unit_price"}
 HEADER_COLUMNS = {"customer_id", "country", "invoice_ts", "invoice_date"}
 
 
@@ -30,78 +62,44 @@ class StarSource(LineSource):
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-
-    def _items(self) -> DataFrame:
-        """Line items; a return has a negative quantity."""
-        quantity = F.col("l_quantity").cast("int")
-        returned = F.col("l_returnflag") == "R"
-        return self.table("lineitem").select(
-            F.col("l_orderkey").alias("order_key"),
-            F.col("l_partkey").alias("part_key"),
-            F.coalesce(returned, F.lit(False)).alias("returned"),
-            F.when(returned, -F.abs(quantity)).otherwise(quantity).alias("quantity"),
-        )
-
-    def _parts(self) -> DataFrame:
-        """Products; every 97th has no price. The scaling spreads invoices over all price bands."""
-        key = F.col("p_partkey")
-        price = F.col("p_retailprice").cast("decimal(12,2)") * F.lit("0.01").cast("decimal(4,2)")
-        return self.table("part").select(
-            key.alias("part_key"),
-            F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")).alias("description"),
-            F.when(key % 97 == 0, F.lit(0)).otherwise(price).cast(PRICE_TYPE).alias("unit_price"),
-        )
-
-    def _headers(self, columns: set[str]) -> DataFrame:
-        """Invoice headers; every 7th has no customer."""
-        key, customer = F.col("o_orderkey"), F.col("o_custkey")
-        headers = self.table("orders").select(
-            key.alias("order_key"),
-            customer.alias("cust_key"),
-            F.when(key % 7 != 0, customer).alias("customer_id"),
-            F.col("o_orderdate").alias("invoice_ts"),
-        )
-        return self._with_country(headers) if "country" in columns else headers
+        return self.spark.read.schema(TABLE_COLUMNS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def _with_country(self, df: DataFrame) -> DataFrame:
-        customers = self.table("customer").select(F.col("c_custkey").alias("cust_key"), "c_nationkey")
-        nations = self.table("nation").select(
-            F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")
-        )
+        customers = self.table("customer").selectExpr("c_custkey AS cust_key", "c_nationkey")
+        nations = self.table("nation").selectExpr("n_nationkey AS c_nationkey", "n_name AS country")
         return df.join(customers, "cust_key", "left").join(nations, "c_nationkey", "left")
 
-    @staticmethod
-    def _line_keys() -> dict[str, Column]:
-        order = F.col("order_key").cast("string")
-        return {
-            "invoice_no": F.when(F.col("returned"), F.concat(F.lit("C"), order)).otherwise(order),
-            "stock_code": F.col("part_key").cast("string"),
-        }
+    def _headers(self, columns: set[str]) -> DataFrame:
+        headers = self.table("orders").selectExpr(HEADERS)
+        return self._with_country(headers) if "country" in columns else headers
 
     def raw(self, *columns: str) -> DataFrame:
         wanted = set(columns)
-        lines = self._items()
+        lines = self.table("lineitem").selectExpr(ITEMS)
         if wanted & PRODUCT_COLUMNS:
-            lines = lines.join(self._parts(), "part_key", "left")
+            lines = lines.join(self.table("part").selectExpr(PARTS), "part_key", "left")
         if wanted & HEADER_COLUMNS:
             lines = lines.join(self._headers(wanted), "order_key", "left")
-            # Raw dates are text, as in a file.
-            lines = lines.withColumn("invoice_date", F.col("invoice_ts").cast("string"))
-        return lines.withColumns(self._line_keys()).select(*columns)
+        # Raw dates are text, as in a file.
+        derived = LINE_KEYS | {"invoice_date": "CAST(invoice_ts AS STRING) AS invoice_date"}
+        return lines.selectExpr([derived.get(name, name) for name in columns])
 
-    def _kept_items(self) -> DataFrame:
+    def _kept_items(self, columns: set[str]) -> DataFrame:
         """Items with a positive quantity and price. Product texts are normalised once per product."""
-        parts = self._parts().withColumn("description", normalise_product(F.col("description")))
-        return self._items().join(parts, "part_key").filter(has_positive_measures())
+        parts = self.table("part").selectExpr(PARTS)
+        if "description" in columns:
+            parts = parts.withColumn("description", normalise_product(F.col("description")))
+        return self.table("lineitem").selectExpr(ITEMS).join(parts, "part_key").filter(HAS_POSITIVE_MEASURES)
 
     def _kept_headers(self, columns: set[str]) -> DataFrame:
-        return self._headers(columns).filter(has_customer()).withColumns(date_columns())
+        dates = [f"{value} AS {name}" for name, value in DATE_COLUMNS.items()]
+        return self._headers(columns).filter(HAS_CUSTOMER).selectExpr("*", *dates)
 
     def detail(self, *columns: str) -> DataFrame:
-        lines = self._kept_items().join(self._kept_headers(set(columns)), "order_key")
-        derived = self._line_keys() | {"line_amount": line_amount()}
-        return lines.withColumns(derived).select(*dict.fromkeys(columns))
+        wanted = dict.fromkeys(columns)
+        lines = self._kept_items(set(wanted)).join(self._kept_headers(set(wanted)), "order_key")
+        derived = LINE_KEYS | {"line_amount": f"{LINE_AMOUNT} AS line_amount"}
+        return lines.selectExpr([derived.get(name, name) for name in wanted])
 
     def spend_by(self, *keys: str) -> DataFrame:
         """Sums over invoice attributes add up each order's lines before the join with its header.
@@ -112,15 +110,19 @@ class StarSource(LineSource):
         wanted = set(keys)
         if not wanted <= set(INVOICE_COLUMNS):
             return super().spend_by(*keys)
+        # Within one order, whole ten-thousandths add up as plain integers.
         orders = (
-            self._kept_items()
+            self._kept_items(set())
+            .selectExpr("order_key", "quantity * CAST(unit_price * 10000 AS BIGINT) AS parts")
             .groupBy("order_key")
-            .agg(F.sum(line_amount()).alias("spend"), F.count("*").alias("line_count"))
+            .agg(F.expr("CAST(sum(parts) AS DECIMAL(20, 0)) * 0.0001BD AS spend"), F.expr("count(*) AS line_count"))
         )
-        invoices = orders.join(self._kept_headers(wanted if "invoice_no" in wanted else set()), "order_key").withColumns(
-            {"invoice_no": F.col("order_key").cast("string"), "last_date": F.col("invoice_date")}
+        per_invoice = "invoice_no" in wanted
+        headers = self._kept_headers(wanted if per_invoice else set())
+        invoices = orders.join(headers, "order_key").selectExpr(
+            "*", "CAST(order_key AS STRING) AS invoice_no", "invoice_date AS last_date"
         )
-        if "invoice_no" in wanted:
+        if per_invoice:
             return invoices.select(*keys, "spend", "line_count", "last_date")
         if "country" in wanted:
             # The country hangs on the customer: add up per customer before looking it up.
