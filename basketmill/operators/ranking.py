@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketmill.operators.staging import stage
@@ -13,13 +13,20 @@ from basketmill.operators.staging import stage
 Cuts = dict[str, list[tuple[int, int]]]
 
 
+def tile_starts(rows: int, tiles: int) -> list[int]:
+    """Zero-based ranks at which the second to last tiles start; the first `rows % tiles` tiles hold one row more."""
+    size, larger = divmod(rows, tiles)
+    starts = [tile * size + min(tile, larger) for tile in range(1, tiles)]
+    return [rank for rank in starts if rank < rows]
+
+
 def tile_cuts(df: DataFrame, key: str, rankings: dict[str, Column], tiles: int) -> Cuts:
     """For each ranking, the (value, key) pairs at which its second to last tiles start.
 
     All rankings are stacked and range-partitioned by (ranking, value, key) in one shuffle. The
     key breaks ties, so a value shared by a third of the rows spreads over partitions like any
-    other. The sorted rows are written with their position; row counts per partition then tell
-    where each tile starts, and only those rows, fewer than `tiles` per ranking, are collected.
+    other. The sorted rows are written with their position. Row counts per partition then tell
+    where each tile starts, and only those rows, fewer than `tiles` per ranking, are fetched.
     """
     entries = [F.struct(F.lit(name).alias("ranking"), value.alias("value")) for name, value in rankings.items()]
     order = ["ranking", "value", key]
@@ -27,30 +34,26 @@ def tile_cuts(df: DataFrame, key: str, rankings: dict[str, Column], tiles: int)
         df.select(F.inline(F.array(*entries)), key)
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("position", F.monotonically_increasing_id()),
+        .withColumn("position", F.expr("monotonically_increasing_id()")),
         "ranked",
     )
-    # The upper bits of a position are its partition: this table has one row per ranking and partition.
-    runs = placed.groupBy("ranking", F.shiftright("position", 33).alias("part")).agg(
-        F.count("*").alias("rows"), F.min("position").alias("first")
-    )
-    by_ranking = Window.partitionBy("ranking")
-    earlier = by_ranking.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    total, tile = F.col("total"), F.col("tile")
-    # With n rows, the first n mod k of k tiles hold one row more than the others.
-    larger = F.pmod(total, F.lit(tiles))
-    starts = (
-        runs.withColumns(
-            {"before": F.coalesce(F.sum("rows").over(earlier), F.lit(0)), "total": F.sum("rows").over(by_ranking)}
-        )
-        .withColumn("tile", F.explode(F.sequence(F.lit(1), F.lit(tiles - 1))))
-        .withColumn("skipped", tile * F.floor(total / tiles) + F.least(tile, larger) - F.col("before"))
-        .filter(F.col("skipped").between(0, F.col("rows") - 1))
-        .select("ranking", (F.col("first") + F.col("skipped")).alias("position"))
+    # The upper bits of a position are its partition, so there is one run per ranking and partition.
+    runs = (
+        placed.groupBy("ranking", F.expr("shiftright(position, 33) AS part"))
+        .agg(F.expr("min(position) AS first"), F.expr("count(*) AS rows"))
+        .collect()
     )
-    found = placed.join(F.broadcast(starts), ["ranking", "position"]).select("ranking", "value", key)
-    cuts: Cuts = {name: [] for name in rankings}
-    for ranking, value, key_value in found.collect():
+    runs.sort(key=lambda run: run["first"])
+    wanted = []
+    for ranking in rankings:
+        own = [run for run in runs if run["ranking"] == ranking]
+        starts = tile_starts(sum(run["rows"] for run in own), tiles)
+        before = 0
+        for run in own:
+            wanted += [run["first"] + rank - before for rank in starts if before <= rank < before + run["rows"]]
+            before += run["rows"]
+    cuts: Cuts = {ranking: [] for ranking in rankings}
+    for ranking, value, key_value in placed.filter(F.col("position").isin(wanted)).select(order).collect():
         cuts[ranking].append((value, key_value))
     return cuts
 
@@ -66,8 +69,7 @@ def with_tiles(df: DataFrame, key: str, rankings: dict[str, Column], tiles: int)
 
     def tile(value: Column, ranking: str) -> Column:
         reached = [
-            F.when((value > cut) | ((value == cut) & (F.col(key) >= cut_key)), 1).otherwise(0)
-            for cut, cut_key in cuts[ranking]
+            ((value > cut) | ((value == cut) & (F.col(key) >= cut_key))).cast("int") for cut, cut_key in cuts[ranking]
         ]
         return reduce(add, reached, F.lit(1))
 

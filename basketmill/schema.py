@@ -21,9 +21,6 @@ FILE_COLUMNS = {
     "Country": "country",
 }
 
-# Every file column is read as text first, so that all spellings of "missing" can be mapped to NULL.
-FILE_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in FILE_COLUMNS])
-
 PRICE_TYPE = T.DecimalType(12, 4)
 
 RAW_SCHEMA = T.StructType(

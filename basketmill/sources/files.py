@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketmill.functions.text import null_if_missing
-from basketmill.schema import FILE_COLUMNS, FILE_SCHEMA, RAW_SCHEMA
+from basketmill.schema import FILE_COLUMNS, RAW_SCHEMA
 
 
 def _typed(name: str) -> Column:
@@ -21,16 +21,14 @@ def _typed(name: str) -> Column:
 def read_invoice_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", multi_line: bool = False) -> DataFrame:
     """Raw lines of one or more CSV files with a header row.
 
-    Files are split between tasks; set `multi_line` only if quoted fields contain line breaks,
-    as each file is then read by one task.
+    Columns are found by name, whatever their order; files whose headers differ are refused. Files
+    are split between tasks; set `multi_line` only if quoted fields contain line breaks, as each
+    file is then read by one task.
     """
-    lines = (
-        spark.read.schema(FILE_SCHEMA)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("encoding", encoding)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
+    reader = (
+        spark.read.option("header", True).option("encoding", encoding).option("escape", '"').option("multiLine", multi_line)
     )
+    # Every column is text at first, so that all spellings of "missing" can be mapped to NULL.
+    header = reader.csv(path).schema
+    lines = reader.schema(header).option("enforceSchema", False).csv(path)
     return lines.select([_typed(name) for name in FILE_COLUMNS])
