@@ -10,8 +10,7 @@ from basketmill.functions.numeric import money, percent
 from basketmill.sources.lines import LineSource
 
 
-def monthly_top_products(source: LineSource, top: int = 3) -> DataFrame:
-    """Products with the highest revenue in each month; equal revenues rank by product text."""
+def _ranked_products(source: LineSource, top: int) -> DataFrame:
     revenue = (
         source.detail("sale_month", "description", "line_amount")
         .groupBy("sale_month", F.col("description").alias("product_name"))
@@ -28,10 +27,14 @@ def monthly_top_products(source: LineSource, top: int = 3) -> DataFrame:
             "product_name",
             money(F.col("revenue")).alias("monthly_revenue"),
         )
-        .orderBy("sale_month", "rank_in_month")
     )
 
 
+def monthly_top_products(source: LineSource, top: int = 3) -> DataFrame:
+    """Products with the highest revenue in each month; equal revenues rank by product text."""
+    return _ranked_products(source, top).orderBy("sale_month", "rank_in_month")
+
+
 def latest_month(ranked: DataFrame) -> DataFrame:
     """The last month of a `monthly_top_products` result, by rank."""
     # A few rows per month: one task is enough, and the result is not computed twice.
@@ -46,7 +49,7 @@ def latest_month(ranked: DataFrame) -> DataFrame:
 
 def latest_month_top3(source: LineSource) -> DataFrame:
     """The top three products of the last month with sales."""
-    return latest_month(monthly_top_products(source))
+    return latest_month(_ranked_products(source, 3))
 
 
 def gmv_by_product(source: LineSource) -> DataFrame:

@@ -12,8 +12,8 @@ from basketmill.sources.lines import LineSource
 Job = Callable[[LineSource], DataFrame]
 
 JOBS: dict[str, Job] = {
-    "raw_lines": layers.raw_lines,
-    "detail_lines": layers.detail_lines,
+    "build_ods": layers.raw_lines,
+    "build_dwd": layers.detail_lines,
     "monthly_top3_products": products.monthly_top_products,
     "monthly_gmv_mom": revenue.monthly_gmv_mom,
     "customer_running_spend": revenue.customer_running_spend,

@@ -173,12 +173,12 @@ def _row_counts(tables: dict[str, str]) -> str:
 
 def all_queries() -> dict[str, str]:
     return {
-        "raw_lines": _on_raw(
+        "build_ods": _on_raw(
             """SELECT invoice_no AS "InvoiceNo", stock_code AS "StockCode", description AS "Description",
        quantity AS "Quantity", CAST(ts AS VARCHAR) AS "InvoiceDate", CAST(unit_price AS DOUBLE) AS "UnitPrice",
        customer_id AS "CustomerID", country AS "Country" FROM raw"""
         ),
-        "detail_lines": _on_sales(
+        "build_dwd": _on_sales(
             """SELECT invoice_no AS "InvoiceNo", stock_code AS "StockCode", product AS "Description",
        quantity AS "Quantity", CAST(day AS VARCHAR) AS "InvoiceDate", CAST(unit_price AS DOUBLE) AS "UnitPrice",
        customer_id AS "CustomerID", country AS "Country", CAST(amount AS DOUBLE) AS "TotalLineItemAmount" FROM sales"""
@@ -287,7 +287,7 @@ GROUP BY product ORDER BY 2 DESC, product NULLS FIRST LIMIT 20"""
         ),
         "hourly_event_users": """SELECT strftime(ts, '%H') AS "Hour", count(DISTINCT user_id) AS "UserVolume"
 FROM events GROUP BY 1""",
-        "result_tables": _on_sales(
+        "build_ads": _on_sales(
             _row_counts(
                 {
                     "ads_monthly_top3_products": "top3",

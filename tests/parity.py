@@ -22,7 +22,9 @@ def oracle_rows(sql: str, folder: str) -> tuple[list[tuple[str, str]], list[tupl
     """Columns with types, and rows, both in column-name order."""
     with duckdb.connect() as db:
         for table in TABLES:
-            db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{Path(folder) / table}.parquet'")
+            path = Path(folder) / f"{table}.parquet"
+            files = path / "*.parquet" if path.is_dir() else path
+            db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{files}'")
         cursor = db.execute(sql)
         columns = [(column[0], str(column[1])) for column in cursor.description]
         rows = cursor.fetchall()

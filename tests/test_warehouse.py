@@ -17,7 +17,7 @@ FILE_COLUMNS = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDat
 def warehouse(spark, star, tmp_path_factory):
     """A warehouse built from a CSV export of the star-schema lines."""
     folder = tmp_path_factory.mktemp("files")
-    lines = JOBS["raw_lines"](star).withColumn(
+    lines = JOBS["build_ods"](star).withColumn(
         "InvoiceDate", F.date_format(F.to_timestamp("InvoiceDate"), "M/d/yyyy H:mm")
     )
     lines.select(FILE_COLUMNS).repartition(3).write.option("header", True).option("encoding", "ISO-8859-1").option(
@@ -31,7 +31,7 @@ def warehouse(spark, star, tmp_path_factory):
 
 
 def test_missing_table_is_named(spark):
-    with pytest.raises(LookupError, match="default.dwd_sales"):
+    with pytest.raises(LookupError, match="default.ods_sales does not exist"):
         Warehouse(spark).build_ads()
 
 
