@@ -4,18 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"basketmill-{application}-")
+
+
 def staging_folder(spark: SparkSession) -> str:
-    """The shared folder of `spark.checkpoint.dir`; a temporary one only in local mode."""
+    """The shared folder of `spark.checkpoint.dir`; where that is unset, a temporary one, in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+    if not folder:
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="basketmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local_folder(context.applicationId)
     return folder.rstrip("/")
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketmill.operators.cleaning import clean_lines
+from basketmill.plans.layers import published
 from basketmill.plans.registry import RESULT_TABLES, Job
 from basketmill.schema import DETAIL_TABLE, INVOICE_COLUMNS, INVOICE_TABLE, RAW_TABLE, RESULT_PREFIX
 from basketmill.sources.files import read_invoice_csv
@@ -18,8 +20,8 @@ from basketmill.sources.stored import InvoiceSource
 class Warehouse:
     """Tables of one database, each rebuilt as a whole.
 
-    With a `location` the tables are external parquet folders below it; otherwise they live in
-    the session's warehouse directory.
+    With a `location` the tables are parquet folders below it, which a later session can attach;
+    otherwise they live in the session's warehouse directory.
     """
 
     def __init__(self, spark: SparkSession, database: str = "default", location: str | None = None):
@@ -31,23 +33,31 @@ class Warehouse:
         return f"{self.database}.{table}"
 
     def write(self, df: DataFrame, table: str, partition_by: str | None = None) -> int:
-        """Replace a table and return its number of rows, counted while writing."""
-        written = Observation(table)
-        counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+        """Replace a table and return its number of rows, which the file footers tell."""
         if partition_by:
             # One or a few files per partition value; a value with very many rows is split further.
-            counted = counted.hint("rebalance", partition_by)
-        writer = counted.write.mode("overwrite").format("parquet")
+            df = df.hint("rebalance", partition_by)
+        writer = df.write.mode("overwrite").format("parquet")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         if self.location:
             writer = writer.option("path", f"{self.location}/{table}")
         writer.saveAsTable(self.name(table))
-        return written.get["rows"]
+        return self.table(table).count()
+
+    def _attach(self, table: str) -> bool:
+        """Register a table that an earlier session wrote below the location."""
+        if not self.location:
+            return False
+        try:
+            self.spark.catalog.createTable(self.name(table), path=f"{self.location}/{table}", source="parquet")
+        except AnalysisException:
+            return False
+        return True
 
     def table(self, table: str) -> DataFrame:
         """A stored table; an error that names it if it was never built."""
-        if not self.spark.catalog.tableExists(self.name(table)):
+        if not (self.spark.catalog.tableExists(self.name(table)) or self._attach(table)):
             raise LookupError(f"table {self.name(table)} does not exist; build it first")
         return self.spark.table(self.name(table))
 
@@ -75,6 +85,11 @@ class Warehouse:
         source = source or self.source()
         return {table: self.write(job(source), table) for table, job in jobs.items()}
 
+    def register_views(self, raw_view: str, detail_view: str) -> None:
+        """Temporary views of both layers under the column names of the source file, for SQL of one's own."""
+        published(self.table(RAW_TABLE)).createOrReplaceTempView(raw_view)
+        published(self.table(DETAIL_TABLE)).createOrReplaceTempView(detail_view)
+
     def tables(self, prefix: str = "") -> DataFrame:
         """Table names in order, optionally only those with a prefix."""
         listed = self.spark.sql(f"SHOW TABLES IN {self.database}").filter(~F.col("isTemporary"))

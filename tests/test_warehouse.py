@@ -61,3 +61,28 @@ def test_detail_table_by_month(warehouse, star):
     month = warehouse.source().detail("sale_month", "line_amount").filter("sale_month = DATE'1998-10-01'")
     assert "PartitionFilters: [isnotnull(sale_month" in month._jdf.queryExecution().toString()
     assert rows(JOBS["monthly_revenue"](warehouse.source())) == rows(JOBS["monthly_revenue"](star))
+
+
+def test_views_with_the_names_of_the_source_file(spark, warehouse, star):
+    warehouse.register_views("raw_file", "clean_file")
+    assert spark.table("raw_file").columns == FILE_COLUMNS
+    revenue = spark.sql("SELECT Country, SUM(TotalLineItemAmount) AS r FROM clean_file GROUP BY Country ORDER BY r DESC LIMIT 10")
+    assert [row["Country"] for row in revenue.collect()] == [row["Country"] for row in JOBS["top_countries"](star).collect()]
+
+
+def test_a_later_session_attaches_the_tables(spark, warehouse):
+    spark.sql("CREATE DATABASE again")
+    later = Warehouse(spark, "again", location=warehouse.location)
+    assert rows(JOBS["kept_ratio"](later.source())) == [(6000, 3417, 56.95)]
+    with pytest.raises(LookupError, match="again.nothing"):
+        later.table("nothing")
+
+
+def test_command_line(spark, warehouse, capsys):
+    from basketmill.__main__ import main
+
+    main(["quality", "--database", "shop"])
+    main(["show", "repurchase_rate", "--database", "shop"])
+    main(["results", "--database", "shop", "--location", warehouse.location])
+    output = capsys.readouterr().out
+    assert "drop:CustomerID_is_null" in output and "repurchase_rate_pct" in output and "ads_rfm_segments 6" in output
