@@ -20,6 +20,25 @@ DEFAULTS = {
 }
 
 
+GIB = 2**30
+
+
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Scan and shuffle settings for an input of this many bytes, to pass to `get_spark`.
+
+    The jobs shuffle a few narrow columns of the lines, about a tenth of the input. One shuffle
+    partition per 5 GiB of input therefore holds about half a GiB, which sorts without much
+    spilling; run-time re-planning merges partitions that turn out smaller. Beyond a TiB, larger
+    scan tasks keep the number of map outputs, and so the number of shuffle blocks, in bounds.
+    """
+    partitions = min(max(input_bytes // (5 * GIB), 200), 20_000)
+    scan = 512 if input_bytes > 1024 * GIB else 128
+    return {
+        "spark__sql__shuffle__partitions": str(partitions),
+        "spark__sql__files__maxPartitionBytes": f"{scan}m",
+    }
+
+
 def get_spark(app_name: str = "basketmill", master: str | None = None, **conf: str) -> SparkSession:
     """Create or get a session; `conf` keys use `__` for `.` and override the defaults."""
     builder = SparkSession.builder.appName(app_name)
