@@ -53,6 +53,8 @@ class Warehouse:
             self.spark.catalog.createTable(self.name(table), path=f"{self.location}/{table}", source="parquet")
         except AnalysisException:
             return False
+        if any(column.isPartition for column in self.spark.catalog.listColumns(self.name(table))):
+            self.spark.catalog.recoverPartitions(self.name(table))
         return True
 
     def table(self, table: str) -> DataFrame:

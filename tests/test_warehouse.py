@@ -74,7 +74,12 @@ def test_a_later_session_attaches_the_tables(spark, warehouse):
     spark.sql("CREATE DATABASE again")
     later = Warehouse(spark, "again", location=warehouse.location)
     assert rows(JOBS["kept_ratio"](later.source())) == [(6000, 3417, 56.95)]
-    with pytest.raises(LookupError, match="again.nothing"):
+    warehouse.build_dwd(by_month=True)
+    spark.sql("CREATE DATABASE by_month")
+    later = Warehouse(spark, "by_month", location=warehouse.location)
+    assert dict(later.table("dwd_sales").dtypes) == dict(warehouse.table("dwd_sales").dtypes)
+    assert rows(JOBS["dwd_value_ranges"](later.source())) == rows(JOBS["dwd_value_ranges"](warehouse.source()))
+    with pytest.raises(LookupError, match="by_month.nothing does not exist"):
         later.table("nothing")
 
 
