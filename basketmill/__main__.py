@@ -27,6 +27,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     load = commands.add_parser("load", parents=[shared], help="files -> raw and cleaned lines")
     load.add_argument("path")
     load.add_argument("--encoding", default="ISO-8859-1")
+    load.add_argument("--strict", action="store_true", help="fail on lines with too few or too many fields")
     load.add_argument("--on-bad-date", choices=["raise", "null"], default="raise")
     load.add_argument("--dedup", action="store_true")
     load.add_argument("--by-month", action="store_true")
@@ -42,7 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     warehouse = Warehouse(get_spark(master=args.master), args.database, args.location)
     if args.command == "load":
-        print("raw lines", warehouse.build_ods(args.path, encoding=args.encoding))
+        print("raw lines", warehouse.build_ods(args.path, encoding=args.encoding, strict=args.strict))
         print("cleaned lines", warehouse.build_dwd(args.on_bad_date, args.dedup, args.by_month))
     elif args.command == "results":
         for table, rows in warehouse.build_ads().items():

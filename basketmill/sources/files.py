@@ -18,15 +18,22 @@ def _typed(name: str) -> Column:
     return text.cast(target).alias(FILE_COLUMNS[name])
 
 
-def read_invoice_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", multi_line: bool = False) -> DataFrame:
+def read_invoice_csv(
+    spark: SparkSession, path: str, encoding: str = "ISO-8859-1", multi_line: bool = False, strict: bool = False
+) -> DataFrame:
     """Raw lines of one or more CSV files with a header row.
 
-    Columns are found by name, whatever their order; files whose headers differ are refused. Files
-    are split between tasks; set `multi_line` only if quoted fields contain line breaks, as each
-    file is then read by one task.
+    Columns are found by name, whatever their order; files whose headers differ are refused. A line
+    with too few fields is filled up with NULL and one with too many is cut, unless `strict` makes
+    either fail the job. Files are split between tasks; set `multi_line` only if quoted fields
+    contain line breaks, as each file is then read by one task.
     """
     reader = (
-        spark.read.option("header", True).option("encoding", encoding).option("escape", '"').option("multiLine", multi_line)
+        spark.read.option("header", True)
+        .option("encoding", encoding)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
     )
     # Every column is text at first, so that all spellings of "missing" can be mapped to NULL.
     header = reader.csv(path).schema

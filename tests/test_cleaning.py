@@ -57,6 +57,15 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
         read_invoice_csv(spark, str(tmp_path)).collect()
 
 
+@pytest.mark.parametrize("bad", ["1,1,cup,6,12/1/2010 8:26,2.55,17850", "1,1,cup,6,12/1/2010 8:26,2.55,17850,France,x"])
+def test_lines_with_another_number_of_fields(spark, tmp_path, bad):
+    path = csv(tmp_path, [LINES[0], bad])
+    assert read_invoice_csv(spark, path).count() == 2
+    assert read_invoice_csv(spark, path).filter("quantity = 6 AND customer_id = 17850").count() == 2
+    with pytest.raises(Exception, match="FAILFAST|[Mm]alformed"):
+        read_invoice_csv(spark, path, strict=True).collect()
+
+
 def test_clean_lines(spark, tmp_path):
     cleaned = clean_lines(read_invoice_csv(spark, csv(tmp_path, LINES)))
     assert [(f.name, f.dataType) for f in cleaned.schema] == [(f.name, f.dataType) for f in DETAIL_SCHEMA]
