@@ -59,3 +59,23 @@ def texts(values: Iterable) -> list[str]:
 def doc_crc(doc_id: str = "doc_id") -> Column:
     """crc32 of an id written as text, which folds are cut by."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary"))
+
+
+class Recent(dict):
+    """Results of a function of short strings, the more recent ones kept: at most twice `size` of them."""
+
+    def __init__(self, make: Callable[[Any], Any], size: int, longest: int = 64):
+        super().__init__()
+        self.make, self.size, self.longest = make, size, longest
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.size:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value

@@ -25,13 +25,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketmill.llm.common import once_per_worker, ship_code, texts
+from basketmill.llm.common import Recent, once_per_worker, ship_code, texts
 from basketmill.llm.token_count import byte_symbols
 from basketmill.operators.staging import stage
 
 #: Pieces of text whose ids a worker keeps, at most twice as many.
 CACHE_SIZE = 250_000
-LONGEST_CACHED = 64
 #: Punctuation at the end of a piece that is looked up apart from the letters before it.
 ENDS = ".,;:!?%$&*#"
 #: Letters before this one have no other normal form.
@@ -41,7 +40,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 ROW_BITS = 33
 
 
-class IdEncoder(dict):
+class IdEncoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers, by the tokenizers library.
 
     For a byte-level BPE tokenizer file that drops white space and keeps runs of letters together. No
@@ -52,7 +51,6 @@ class IdEncoder(dict):
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         spec = json.loads(definition)
         steps = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])
         split = [step for step in steps if step["type"] == "Split"]
@@ -64,7 +62,7 @@ class IdEncoder(dict):
         self.merging = self.whole.model
         self.symbols = str.maketrans({chr(byte): symbol for byte, symbol in byte_symbols().items()})
         self.specials = [token["content"].encode() for token in spec.get("added_tokens", [])]
-        self.older: dict[bytes, bytes] = {}
+        self.ids = Recent(self.make, CACHE_SIZE)
 
     def by_library(self, text: str) -> bytes:
         return _packed(self.whole.encode(text, add_special_tokens=False).ids)
@@ -80,27 +78,16 @@ class IdEncoder(dict):
         if small.isalpha() and max(small) < LATIN_END and (self.lower or word == small):
             if len(word) == len(text):
                 return self.letters(small)
-            return self[word.encode()] + self[text[len(word) :].encode()]
+            return self.ids[word.encode()] + self.ids[text[len(word) :].encode()]
         return self.by_library(text)
 
-    def __missing__(self, piece: bytes) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = self.make(piece)
-        if len(piece) <= LONGEST_CACHED:
-            if len(self) >= CACHE_SIZE:
-                self.older = dict(self)
-                self.clear()
-            self[piece] = ids
-        return ids
-
     def encode(self, text: str) -> bytes:
         data = text.encode("utf-8", "replace")
         if self.lower:
             data = data.lower()
         if any(special in data for special in self.specials):
             return self.by_library(text)
-        return b"".join(map(self.__getitem__, data.split()))
+        return b"".join(map(self.ids.__getitem__, data.split()))
 
 
 def _packed(ids: list[int]) -> bytes:

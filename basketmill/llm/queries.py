@@ -7,11 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketmill.llm import packing, quality, simhash, token_count, toxicity
+from basketmill.llm import (
+    html_text,
+    licenses,
+    lz_fingerprint,
+    packing,
+    piece_transducer,
+    quality,
+    rp_forest,
+    simhash,
+    token_count,
+    toxicity,
+)
 from basketmill.llm.common import read_table
 
 #: The queries' tokenizer files.
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +35,27 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_transducer.encode_digests(read_table(spark, sf_dir, "documents", "doc_id", "text"), PIECE_MODEL)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return quality.score_documents(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprint.compare_with_edited(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents", "doc_id", "text"), WORD_TOKENIZER)
 
@@ -36,7 +64,23 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.nearest(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_token_counts, op2_toxicity, op6_quality, op8_packing, op9_simhash)
+    query.__name__: query
+    for query in (
+        op1_token_counts,
+        op2_toxicity,
+        op3_licenses,
+        op4_html_text,
+        op5_pieces,
+        op6_quality,
+        op7_fingerprints,
+        op8_packing,
+        op9_simhash,
+        op10_neighbours,
+    )
 }
 ORACLE_SQL: dict[str, str] = {}
