@@ -199,9 +199,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: st
         for batch in batches:
             yield pd.DataFrame({"positive": batch["positive"], "found": [finder.find(t) for t in texts(batch["text"])]})
 
-    rows = sample.mapInPandas(indexed, "positive boolean, found array<int>").orderBy("positive", "found").collect()
-    positives = [row["found"] for row in rows if row["positive"]]
-    unlabelled = [row["found"] for row in rows if not row["positive"]]
+    rows = sample.mapInPandas(indexed, "positive boolean, found array<int>").collect()
+    # In a fixed order, as training depends on it.
+    positives = sorted(row["found"] for row in rows if row["positive"])
+    unlabelled = sorted(row["found"] for row in rows if not row["positive"])
     models = [train_nnpu(positives, unlabelled, len(names), prior, seed) for seed in range(MODELS)]
     weights = np.mean([weights for weights, _ in models], axis=0)
     bias = float(np.mean([bias for _, bias in models]))
