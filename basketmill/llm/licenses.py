@@ -291,6 +291,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unconfirme
     rows = docs.select("doc_id", lines).filter(odds >= float(np.log(PASSING / (1 - PASSING))))
     # Few paragraphs come as far as this. They are written, so that what follows isn't drawn into the filter above.
     rows = stage(rows, "licence-candidates")
+    # Few bytes but much to do for each, so not dealt out by size.
+    rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "position")
 
     def guess(words: Column) -> Column:
         classes = zip(model.families, model.family_bias, strict=True)
