@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from basketmill.llm.common import Recent, once_per_worker, ship_code, texts
 
 MARK = "▁"
-CACHE_SIZE = 300_000
+CACHE_SIZE = 450_000
 PAIRS_KEPT = 500_000
 
 
