@@ -47,7 +47,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = simhash.near_duplicates(docs)
     firsts = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     firsts = stage(firsts, "first-documents")
-    kept = docs.join(firsts.select("doc_id"), "doc_id", "left_semi")
+    # A merge join at every size: the ids grow with the documents.
+    kept = docs.join(firsts.select("doc_id").hint("merge"), "doc_id", "left_semi")
     if firsts.filter("n > 1").limit(1).count():
         repeated = firsts.filter("n > 1").select("doc_id")
         least = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
