@@ -11,7 +11,8 @@ from __future__ import annotations
 import argparse
 
 from basketmill.plans.registry import JOBS
-from basketmill.session import get_spark
+from basketmill.session import get_spark, size_session
+from basketmill.sources.files import odd_lines
 from basketmill.warehouse import Warehouse
 
 QUALITY_JOBS = ["kept_ratio", "ods_filter_reasons", "dwd_missing_profile", "dwd_value_ranges"]
@@ -19,7 +20,7 @@ QUALITY_JOBS = ["kept_ratio", "ods_filter_reasons", "dwd_missing_profile", "dwd_
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     shared = argparse.ArgumentParser(add_help=False)
-    shared.add_argument("--location", help="folder of the stored tables")
+    shared.add_argument("--location", required=True, help="folder of the stored tables, which later commands attach")
     shared.add_argument("--database", default="default")
     shared.add_argument("--master", help="Spark master, if spark-submit does not set it")
     parser = argparse.ArgumentParser(prog="basketmill", description="Retail analytics on Spark")
@@ -27,7 +28,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     load = commands.add_parser("load", parents=[shared], help="files -> raw and cleaned lines")
     load.add_argument("path")
     load.add_argument("--encoding", default="ISO-8859-1")
-    load.add_argument("--strict", action="store_true", help="fail on lines with too few or too many fields")
+    load.add_argument("--strict", action="store_true", help="also fail on lines with too few fields")
+    load.add_argument("--on-extra-fields", choices=["raise", "reject"], default="raise")
+    load.add_argument("--on-fine-price", choices=["raise", "round"], default="raise")
     load.add_argument("--on-bad-date", choices=["raise", "null"], default="raise")
     load.add_argument("--dedup", action="store_true")
     load.add_argument("--by-month", action="store_true")
@@ -41,9 +44,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
-    warehouse = Warehouse(get_spark(master=args.master), args.database, args.location)
+    spark = get_spark(master=args.master)
+    size_session(spark, args.path if args.command == "load" else args.location)
+    warehouse = Warehouse(spark, args.database, args.location)
     if args.command == "load":
-        print("raw lines", warehouse.build_ods(args.path, encoding=args.encoding, strict=args.strict))
+        for problem in odd_lines(spark, args.path, args.encoding).groupBy("problem").count().collect():
+            print("lines with", problem["problem"], problem["count"])
+        options = {"on_extra_fields": args.on_extra_fields, "on_fine_price": args.on_fine_price}
+        print("raw lines", warehouse.build_ods(args.path, encoding=args.encoding, strict=args.strict, **options))
         print("cleaned lines", warehouse.build_dwd(args.on_bad_date, args.dedup, args.by_month))
     elif args.command == "results":
         for table, rows in warehouse.build_ads().items():

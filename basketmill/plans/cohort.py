@@ -29,7 +29,6 @@ def _retention(source: LineSource, month_offset: Callable[[Column, Column], Colu
         .withColumn("cohort_month", month_text(F.col("first_month")))
         .withColumn("retention_rate", percent(F.col("active_users"), F.col("cohort_size"), 1))
         .select("cohort_month", "month_offset", "active_users", "cohort_size", "retention_rate")
-        .orderBy("cohort_month", "month_offset")
     )
 
 
@@ -39,12 +38,12 @@ def cohort_retention(source: LineSource) -> DataFrame:
     Short months fold into their neighbour, which can count a customer twice at one offset;
     `cohort_retention_calendar` does not.
     """
-    return _retention(source, mean_month_offset)
+    return _retention(source, mean_month_offset).orderBy("cohort_month", "month_offset")
 
 
 def cohort_retention_calendar(source: LineSource) -> DataFrame:
     """Active customers per cohort and calendar-month offset."""
-    return _retention(source, calendar_month_offset)
+    return _retention(source, calendar_month_offset).orderBy("cohort_month", "month_offset")
 
 
 def cohort_retention_pivot6(source: LineSource) -> DataFrame:
@@ -67,4 +66,13 @@ def retention_matrix(retention: DataFrame) -> DataFrame:
 
 def cohort_retention_matrix(source: LineSource) -> DataFrame:
     """`cohort_retention` as a grid."""
-    return retention_matrix(stage(cohort_retention(source), "retention"))
+    return retention_matrix(stage(_retention(source, mean_month_offset), "retention"))
+
+
+def retention_cells(matrix: DataFrame) -> DataFrame:
+    """The grid as one row per cell, empty ones too."""
+    offsets = [F.col(f"`{name}`") for name in matrix.columns if name != "cohort_month"]
+    if not offsets:
+        return matrix.selectExpr("cohort_month", "CAST(NULL AS INT) AS month_offset", "CAST(NULL AS DOUBLE) AS retention_rate")
+    cells = matrix.unpivot("cohort_month", offsets, "month_offset", "retention_rate")
+    return cells.withColumn("month_offset", F.col("month_offset").cast("int"))

@@ -57,7 +57,7 @@ DETAIL_COLUMNS = DETAIL_SCHEMA.fieldNames()
 # Attributes that belong to the invoice and not to one of its lines.
 INVOICE_COLUMNS = ["invoice_no", "customer_id", "invoice_date", "sale_month", "sale_hour", "country"]
 
-# Columns of each stored result table, in order.
+# Columns of each stored result table, in order.
 RESULT_COLUMNS = {
     "ads_monthly_top3_products": ["sale_month", "rank_in_month", "product_name", "monthly_revenue"],
     "ads_monthly_gmv_mom": ["sale_month", "current_gmv", "prev_month_gmv", "mom_growth_pct"],

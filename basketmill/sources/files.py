@@ -8,34 +8,90 @@ from pyspark.sql import functions as F
 from basketmill.functions.text import null_if_missing
 from basketmill.schema import FILE_COLUMNS, RAW_SCHEMA
 
+RECORD = "_record"
+#: Wide enough for every id and price as written; a value with more digits fails the cast.
+EXACT = "decimal(38, 10)"
 
-def _typed(name: str) -> Column:
+
+def _refused(what: str, column: str, text: Column) -> Column:
+    return F.raise_error(F.concat(F.lit(f"{what} in {column}: "), text))
+
+
+def _typed(name: str, on_fine_price: str) -> Column:
+    """A column in its type. Whole numbers may be written with a decimal point; nothing is rounded without notice."""
     text = null_if_missing(F.col(name))
     target = RAW_SCHEMA[FILE_COLUMNS[name]].dataType
-    if name == "CustomerID":
-        # A column with missing ids is often written as floating point: 17850.0
-        text = text.cast("double")
+    if name in ("CustomerID", "Quantity", "UnitPrice"):
+        # Where some are missing, whole numbers are often written as floating point: 17850.0
+        exact = text.cast(EXACT)
+        value = exact.cast(target)
+        what = "more decimals than are kept" if name == "UnitPrice" else "not a whole number"
+        if name != "UnitPrice" or on_fine_price == "raise":
+            value = F.when(text.isNull() | (value == exact), value).otherwise(_refused(what, name, text).cast(target))
+        return value.alias(FILE_COLUMNS[name])
     return text.cast(target).alias(FILE_COLUMNS[name])
 
 
-def read_invoice_csv(
-    spark: SparkSession, path: str, encoding: str = "ISO-8859-1", multi_line: bool = False, strict: bool = False
-) -> DataFrame:
-    """Raw lines of one or more CSV files with a header row.
-
-    Columns are found by name, whatever their order; files whose headers differ are refused. A line
-    with too few fields is filled up with NULL and one with too many is cut, unless `strict` makes
-    either fail the job. Files are split between tasks; set `multi_line` only if quoted fields
-    contain line breaks, as each file is then read by one task.
-    """
+def _records(spark: SparkSession, path: str, encoding: str, multi_line: bool) -> DataFrame:
+    """The columns of the header as text, the whole line where its number of fields is another one, and `_fields` of such a line."""
     reader = (
         spark.read.option("header", True)
         .option("encoding", encoding)
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", RECORD)
+        # Else fields are counted over the selected columns only.
+        .option("columnPruning", False)
     )
     # Every column is text at first, so that all spellings of "missing" can be mapped to NULL.
     header = reader.csv(path).schema
-    lines = reader.schema(header).option("enforceSchema", False).csv(path)
-    return lines.select([_typed(name) for name in FILE_COLUMNS])
+    lines = reader.schema(header.add(RECORD, "string")).option("enforceSchema", False).csv(path)
+    unquoted = F.regexp_replace(RECORD, '"[^"]*"', "")
+    commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
+    # A record may not be asked for alone, so a column of the file, too, has a part in the number.
+    fields = F.when(F.col(RECORD).isNotNull(), F.greatest(commas + 1, -F.length(header.names[0])))
+    return lines.withColumn("_fields", fields).withColumn("_wanted", F.lit(len(header) - 1))
+
+
+TOO_MANY = "_fields > _wanted"
+TOO_FEW = "_fields < _wanted"
+
+
+def read_invoice_csv(
+    spark: SparkSession,
+    path: str,
+    encoding: str = "ISO-8859-1",
+    multi_line: bool = False,
+    strict: bool = False,
+    on_extra_fields: str = "raise",
+    on_fine_price: str = "raise",
+) -> DataFrame:
+    """Raw lines of one or more CSV files with a header row.
+
+    Columns are found by name, whatever their order; files whose headers differ are refused. A line with too many fields fails
+    the job, or is left out with `on_extra_fields="reject"`; one with too few is filled up with NULL, or fails the job if `strict`.
+    `odd_lines` lists both kinds. This holds whichever columns are selected later. Ids and quantities must be whole
+    numbers, and a price with more than four decimals fails the job unless `on_fine_price` is "round".
+
+    Files are split between tasks; set `multi_line` only if quoted fields contain line breaks, as each file is then read by one task.
+    """
+    lines = _records(spark, path, encoding, multi_line)
+    if strict:
+        lines = _checked(lines, f"{TOO_MANY} OR {TOO_FEW}", "line with another number of fields than the header: ")
+    elif on_extra_fields == "raise":
+        lines = _checked(lines, TOO_MANY, "line with more fields than the header: ")
+    else:
+        lines = lines.filter(f"_fields IS NULL OR NOT ({TOO_MANY})")
+    return lines.select([_typed(name, on_fine_price) for name in FILE_COLUMNS])
+
+
+def _checked(lines: DataFrame, refused: str, message: str) -> DataFrame:
+    failure = F.raise_error(F.concat(F.lit(message), F.col(RECORD))).cast("boolean")
+    return lines.filter(F.when(F.expr(f"_fields IS NOT NULL AND ({refused})"), failure).otherwise(True))
+
+
+def odd_lines(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", multi_line: bool = False) -> DataFrame:
+    """(problem, record) of the lines that have more or fewer fields than the header."""
+    problem = F.when(F.expr(TOO_MANY), "too many fields").when(F.expr(TOO_FEW), "too few fields")
+    lines = _records(spark, path, encoding, multi_line).select(problem.alias("problem"), F.col(RECORD).alias("record"))
+    return lines.filter("problem IS NOT NULL")

@@ -51,7 +51,10 @@ class Warehouse:
             return False
         try:
             self.spark.catalog.createTable(self.name(table), path=f"{self.location}/{table}", source="parquet")
-        except AnalysisException:
+        except AnalysisException as error:
+            # Only a folder that isn't there means that the table was never built.
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             return False
         if any(column.isPartition for column in self.spark.catalog.listColumns(self.name(table))):
             self.spark.catalog.recoverPartitions(self.name(table))

@@ -92,11 +92,12 @@ RFM = f"""measures AS (
   SELECT customer_id AS "CustomerID", recency_days, frequency, CAST(monetary AS DOUBLE) AS monetary,
          r_score, f_score, m_score,
          {_half_up("(30 * r_score + 35 * f_score + 35 * m_score) / 100.0::DOUBLE", 2)} AS rfm_score,
-         CASE WHEN r_score IN (4, 5) AND f_score IN (4, 5) AND m_score IN (4, 5) THEN '高价值用户'
-              WHEN r_score > 2 AND f_score > 2 THEN '忠诚用户'
-              WHEN r_score > 3 AND f_score < 3 THEN '新客户'
-              WHEN r_score < 3 AND f_score > 2 AND m_score > 2 THEN '流失高价值用户'
-              WHEN r_score < 3 AND f_score < 3 THEN '沉睡用户'
+         -- Fixed values: the segments' thresholds and names.
+         CASE WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN '高价值用户'
+              WHEN r_score >= 3 AND f_score >= 3 THEN '忠诚用户'
+              WHEN r_score >= 4 AND f_score <= 2 THEN '新客户'
+              WHEN r_score <= 2 AND f_score >= 3 AND m_score >= 3 THEN '流失高价值用户'
+              WHEN r_score <= 2 AND f_score <= 2 THEN '沉睡用户'
               ELSE '潜力用户' END AS user_segment,
          monetary AS exact_monetary
   FROM scores
@@ -171,6 +172,11 @@ def _row_counts(tables: dict[str, str]) -> str:
     )
 
 
+DETAIL = """SELECT invoice_no AS "InvoiceNo", stock_code AS "StockCode", product AS "Description",
+       quantity AS "Quantity", CAST(day AS VARCHAR) AS "InvoiceDate", CAST(unit_price AS DOUBLE) AS "UnitPrice",
+       customer_id AS "CustomerID", country AS "Country", CAST(amount AS DOUBLE) AS "TotalLineItemAmount" FROM sales"""
+
+
 def all_queries() -> dict[str, str]:
     return {
         "build_ods": _on_raw(
@@ -178,11 +184,8 @@ def all_queries() -> dict[str, str]:
        quantity AS "Quantity", CAST(ts AS VARCHAR) AS "InvoiceDate", CAST(unit_price AS DOUBLE) AS "UnitPrice",
        customer_id AS "CustomerID", country AS "Country" FROM raw"""
         ),
-        "build_dwd": _on_sales(
-            """SELECT invoice_no AS "InvoiceNo", stock_code AS "StockCode", product AS "Description",
-       quantity AS "Quantity", CAST(day AS VARCHAR) AS "InvoiceDate", CAST(unit_price AS DOUBLE) AS "UnitPrice",
-       customer_id AS "CustomerID", country AS "Country", CAST(amount AS DOUBLE) AS "TotalLineItemAmount" FROM sales"""
-        ),
+        "build_dwd": _on_sales(DETAIL),
+        "stored_detail": _on_sales(DETAIL),
         "monthly_top3_products": _on_sales("SELECT * FROM top3 ORDER BY sale_month, rank_in_month", TOP3),
         "monthly_gmv_mom": _on_sales("SELECT * FROM mom ORDER BY sale_month", MOM),
         "customer_running_spend": _on_sales(
@@ -205,16 +208,18 @@ ON names.segment = user_segment""",
         "cohort_retention": _on_sales("SELECT * FROM retention ORDER BY cohort_month, month_offset", RETENTION),
         "cohort_retention_pivot6": _on_sales(_pivot6(), RETENTION),
         "cohort_retention_matrix": _on_sales(
-            "PIVOT (SELECT cohort_month, month_offset, retention_rate FROM retention) "
-            "ON month_offset USING first(retention_rate) GROUP BY cohort_month",
+            """SELECT cohort_month, month_offset, retention_rate
+FROM (SELECT DISTINCT cohort_month FROM retention) cohorts
+CROSS JOIN (SELECT DISTINCT month_offset FROM retention) offsets
+LEFT JOIN retention USING (cohort_month, month_offset)""",
             RETENTION,
         ),
         "cohort_retention_calendar": _on_sales(
             "SELECT * FROM retention ORDER BY cohort_month, month_offset", _retention(CALENDAR_MONTHS)
         ),
         "repurchase_rate": _on_sales(
-            f"""SELECT count(*) AS total_customers, count(*) FILTER (orders > 1) AS repurchase_customers,
-       {_percent("count(*) FILTER (orders > 1)", "count(*)", 1)} AS repurchase_rate_pct
+            f"""SELECT count(*) AS total_customers, count(*) FILTER (orders >= 2) AS repurchase_customers,
+       {_percent("count(*) FILTER (orders >= 2)", "count(*)", 1)} AS repurchase_rate_pct
 FROM (SELECT customer_id, count(DISTINCT invoice_no) AS orders FROM sales GROUP BY customer_id)"""
         ),
         "new_vs_returning_gmv": _on_sales(
@@ -224,8 +229,8 @@ FROM sales s JOIN (SELECT customer_id, min(month) AS month FROM sales GROUP BY c
 GROUP BY 1, 2"""
         ),
         "product_repurchase_top10": _on_sales(
-            f"""SELECT product, count(*) AS total_buyers, count(*) FILTER (orders > 1) AS repurchase_buyers,
-       {_percent("count(*) FILTER (orders > 1)", "count(*)", 1)} AS repurchase_rate_pct
+            f"""SELECT product, count(*) AS total_buyers, count(*) FILTER (orders >= 2) AS repurchase_buyers,
+       {_percent("count(*) FILTER (orders >= 2)", "count(*)", 1)} AS repurchase_rate_pct
 FROM (SELECT product, customer_id, count(DISTINCT invoice_no) AS orders FROM sales GROUP BY product, customer_id)
 GROUP BY product HAVING count(*) >= 50
 ORDER BY repurchase_rate_pct DESC, product NULLS FIRST LIMIT 10"""

@@ -14,7 +14,7 @@ from basketmill.functions.calendar import parse_invoice_ts
 from basketmill.functions.text import MISSING_TEXTS, normalise_product, null_if_missing
 from basketmill.operators.cleaning import bad_date_lines, clean_lines
 from basketmill.schema import DETAIL_SCHEMA, RAW_SCHEMA
-from basketmill.sources.files import read_invoice_csv
+from basketmill.sources.files import odd_lines, read_invoice_csv
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
 LINES = [
@@ -57,13 +57,44 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
         read_invoice_csv(spark, str(tmp_path)).collect()
 
 
-@pytest.mark.parametrize("bad", ["1,1,cup,6,12/1/2010 8:26,2.55,17850", "1,1,cup,6,12/1/2010 8:26,2.55,17850,France,x"])
-def test_lines_with_another_number_of_fields(spark, tmp_path, bad):
-    path = csv(tmp_path, [LINES[0], bad])
+SHORT = "1,1,cup,6,12/1/2010 8:26,2.55,17850"
+EXTRA = '1,1,"cup, ""big""",6,12/1/2010 8:26,2.55,17850,France,x'
+
+
+def test_lines_with_too_few_fields_are_filled_and_listed(spark, tmp_path):
+    path = csv(tmp_path, [LINES[0], SHORT])
     assert read_invoice_csv(spark, path).count() == 2
     assert read_invoice_csv(spark, path).filter("quantity = 6 AND customer_id = 17850").count() == 2
-    with pytest.raises(Exception, match="FAILFAST|[Mm]alformed"):
-        read_invoice_csv(spark, path, strict=True).collect()
+    assert rows(odd_lines(spark, path)) == [("too few fields", SHORT)]
+    for columns in (["country"], ["quantity"], []):
+        with pytest.raises(Exception, match="another number of fields"):
+            read_invoice_csv(spark, path, strict=True).select(columns).collect()
+
+
+def test_lines_with_too_many_fields_are_refused(spark, tmp_path):
+    path = csv(tmp_path, [LINES[0], EXTRA, LINES[2]])
+    for columns in (["country"], ["quantity"], []):
+        with pytest.raises(Exception, match="more fields than the header"):
+            read_invoice_csv(spark, path).select(columns).collect()
+    with pytest.raises(Exception, match="more fields than the header"):
+        read_invoice_csv(spark, path).count()
+    kept = read_invoice_csv(spark, path, on_extra_fields="reject")
+    assert sorted(row["invoice_no"] for row in kept.select("invoice_no").collect()) == ["536365", "C536367"]
+    assert kept.count() == 2
+    assert rows(odd_lines(spark, path)) == [("too many fields", EXTRA)]
+
+
+def test_numbers_are_exact(spark, tmp_path):
+    path = csv(tmp_path, ["1,1,cup,6.0,12/1/2010 8:26,2.55,9007199254740993,France"])
+    row = read_invoice_csv(spark, path).collect()[0]
+    assert (row["quantity"], row["customer_id"]) == (6, 9007199254740993)
+    for line in ("1,1,cup,6.5,12/1/2010 8:26,2.55,1,France", "1,1,cup,6,12/1/2010 8:26,2.55,1.5,France"):
+        with pytest.raises(Exception, match="not a whole number"):
+            read_invoice_csv(spark, csv(tmp_path, [line])).collect()
+    path = csv(tmp_path, ["1,1,cup,6,12/1/2010 8:26,0.00004,1,France"])
+    with pytest.raises(Exception, match="more decimals"):
+        read_invoice_csv(spark, path).collect()
+    assert read_invoice_csv(spark, path, on_fine_price="round").collect()[0]["unit_price"] == Decimal("0.0000")
 
 
 def test_clean_lines(spark, tmp_path):

@@ -184,15 +184,16 @@ def test_segments_cover_every_score(spark):
         "CAST(id % 5 + 1 AS INT) r", "CAST(id DIV 5 % 5 + 1 AS INT) f", "CAST(id DIV 25 + 1 AS INT) m"
     )
     for r, f, m, found in rows(scores.select("r", "f", "m", segment(F.col("r"), F.col("f"), F.col("m")))):
-        if min(r, f, m) > 3:
+        # The segments' thresholds and names.
+        if r >= 4 and f >= 4 and m >= 4:
             expected = "高价值用户"
-        elif r > 2 and f > 2:
+        elif r >= 3 and f >= 3:
             expected = "忠诚用户"
-        elif r > 3 and f < 3:
+        elif r >= 4 and f <= 2:
             expected = "新客户"
-        elif r < 3 and f > 2 and m > 2:
+        elif r <= 2 and f >= 3 and m >= 3:
             expected = "流失高价值用户"
-        elif r < 3 and f < 3:
+        elif r <= 2 and f <= 2:
             expected = "沉睡用户"
         else:
             expected = "潜力用户"

@@ -12,9 +12,10 @@ def test_settings_follow_the_input_size():
 
     assert partitions(0) == partitions(100 * GIB) == 200
     assert partitions(5000 * GIB) == 1000
-    assert partitions(100 * 1024 * GIB) == 20_000
+    assert partitions(100 * 1024 * GIB) == 20_480
+    assert partitions(1000 * 1024 * GIB) == 204_800
     assert sized_for(GIB)["spark__sql__files__maxPartitionBytes"] == "128m"
-    assert sized_for(2048 * GIB)["spark__sql__files__maxPartitionBytes"] == "512m"
+    assert sized_for(100 * 1024 * GIB)["spark__sql__files__maxPartitionBytes"] == "524m"
 
 
 class FakeSession:

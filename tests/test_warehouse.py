@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from basketmill.plans.registry import JOBS
 from basketmill.schema import RESULT_COLUMNS
+from basketmill.session import sized_for
 from basketmill.warehouse import Warehouse
 
 FILE_COLUMNS = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country"]
@@ -86,8 +87,18 @@ def test_a_later_session_attaches_the_tables(spark, warehouse):
 def test_command_line(spark, warehouse, capsys):
     from basketmill.__main__ import main
 
-    main(["quality", "--database", "shop"])
-    main(["show", "repurchase_rate", "--database", "shop"])
-    main(["results", "--database", "shop", "--location", warehouse.location])
+    here = ["--database", "shop", "--location", warehouse.location]
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        main(["quality", *here])
+        # The session is sized by what lies at the location.
+        assert spark.conf.get("spark.sql.shuffle.partitions") == sized_for(0)["spark__sql__shuffle__partitions"]
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        main(["show", "repurchase_rate", *here])
+        main(["results", *here])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    with pytest.raises(SystemExit):
+        main(["quality", "--database", "shop"])
     output = capsys.readouterr().out
     assert "drop:CustomerID_is_null" in output and "repurchase_rate_pct" in output and "ads_rfm_segments 6" in output
