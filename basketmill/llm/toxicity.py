@@ -5,8 +5,8 @@ that of Kiryo et al. (2017): prior * risk of the positives as positives, plus th
 unlabelled as negatives - prior * risk of the positives as negatives). Where the second part falls below 0, the step goes
 the other way, which keeps the classifier from learning the unlabelled positives as negatives.
 
-Features are whether a text has a word, or a word that begins with some letters. Those that positives have clearly
-more often than the unlabelled are kept. The models' mean logit is then shifted to the threshold that maximises
+Features are whether a text has a word, and whether it has one, two or four different words that begin with some letters.
+Those that positives have clearly more often than the unlabelled are kept. The models' mean logit is then shifted to the threshold that maximises
 recall squared / share of unlabelled texts above it (Lee and Liu 2003), which needs no negatives either.
 """
 
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketmill.llm.common import doc_crc, once_per_worker, ship_code, texts
+from basketmill.llm.common import Recent, doc_crc, once_per_worker, ship_code, texts
 from basketmill.operators.staging import stage
 
 #: Bounds of the training sample and of the model.
@@ -32,21 +32,27 @@ MOST_UNLABELLED = 6000
 MOST_FEATURES = 4096
 #: A feature's least number of positives, and by how many standard errors its share must be higher among them.
 LEAST_POSITIVES = 3
-LEAST_EVIDENCE = 3.0
+LEAST_EVIDENCE = 4.0
 PREFIXES = range(3, 8)
+#: Numbers of different words with the same beginning that make a feature each.
+LEVELS = (1, 2, 4)
 MODELS = 3
-CACHE_SIZE = 200_000
+CACHE_SIZE = 150_000
 EDGES = string.punctuation + "…“”‘’„«»¿¡—–"
 
 
-def features_of(piece: str) -> list[str]:
-    """Features of a piece of lower-case text between white space: the word, and its beginnings."""
-    word = piece.strip(EDGES)
+def features_of(word: str) -> list[str]:
+    """Features of a word in lower case: itself, and its beginnings."""
     return [f"={word}", *(f"^{word[:size]}" for size in PREFIXES if len(word) > size)] if word else []
 
 
-def features(text: str) -> set[str]:
-    return {feature for piece in set(text.lower().split()) for feature in features_of(piece)}
+def leveled(counts: Counter) -> list[str]:
+    """Feature names of the numbers of pieces that have a feature: of words plainly, of beginnings for each level reached."""
+    return [f"{level}{name}" for name, n in counts.items() for level in LEVELS if n >= level and (level == 1 or name[0] == "^")]
+
+
+def features(text: str) -> list[str]:
+    return leveled(Counter(one for piece in {piece.strip(EDGES) for piece in text.lower().split()} for one in features_of(piece)))
 
 
 @dataclass(frozen=True)
@@ -64,21 +70,22 @@ class FeatureFinder:
 
     def __init__(self, names: list[str]):
         self.index = {name: at for at, name in enumerate(names)}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.asked = {name[1:] for name in names}
+        self.known = Recent(self.of_piece, CACHE_SIZE)
+
+    def of_piece(self, piece: str) -> tuple[str, tuple[str, ...]]:
+        """The word, and what is asked for of its features."""
+        word = piece.strip(EDGES)
+        return word, tuple(name for name in features_of(word) if name in self.asked)
 
     def find(self, text: str) -> list[int]:
-        known, index = self.known, self.index
-        found: set[int] = set()
-        for piece in set(text.lower().split()):
-            has = known.get(piece)
-            if has is None:
-                has = tuple(index[name] for name in features_of(piece) if name in index)
-                if len(known) >= CACHE_SIZE:
-                    known.clear()
-                known[piece] = has
-            if has:
-                found.update(has)
-        return sorted(found)
+        # Few words have any feature that is asked for.
+        found = {one for one in map(self.known.__getitem__, set(text.lower().split())) if one[1]}
+        if not found:
+            return []
+        index = self.index
+        names = leveled(Counter(name for _, has in found for name in has))
+        return sorted(index[name] for name in names if name in index)
 
 
 def _by_text(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
