@@ -165,8 +165,11 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     )
                 )
             before, identity = (None, None) if again else (parsed, doc_id)
-        out = pd.DataFrame(rows, columns=[field.split()[0] for field in OUTPUT.split(", ")])
-        yield out.astype({"doc_id": "Int64"})
+        names = [field.split()[0] for field in OUTPUT.split(", ")]
+        if rows:
+            yield pd.DataFrame(rows, columns=names, dtype=object).astype(
+                {"doc_id": "Int64", "n_chars": "int64", "near_edited": "float64", "near_next": "float64"}
+            )
 
 
 def compare_with_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

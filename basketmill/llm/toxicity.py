@@ -188,7 +188,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: st
             for positive, found in counts.items():
                 n = np.array(list(found.values()), dtype=np.int64)
                 zero = np.zeros_like(n)
-                yield pd.DataFrame({"name": list(found), "p": n if positive else zero, "u": zero if positive else n})
+                if found:
+                    names = pd.Series(list(found), dtype=object)
+                    yield pd.DataFrame({"name": names, "p": n if positive else zero, "u": zero if positive else n})
 
     sizes = {row["positive"]: row["n"] for row in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
