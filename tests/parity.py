@@ -3,12 +3,23 @@
 from __future__ import annotations
 
 import math
+import re
 from pathlib import Path
 
 import duckdb
 
+import __spark_entry__
+
 TABLES = ["nation", "customer", "part", "orders", "lineitem", "events"]
 
+#: The queries with a twin; the optional ones have tests of their own.
+QUERIES = {
+    name: query
+    for name, query in __spark_entry__.queries().items()
+    if name != "pipeline" and not re.match(r"op\d+_", name)
+}
+ORACLES = {name: sql for name, sql in __spark_entry__.oracle_sql().items() if name in QUERIES}
+
 # Spark type -> DuckDB types that hold the same values.
 SAME_TYPES = {
     "string": {"VARCHAR"},

@@ -2,22 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 import pytest
 from conftest import SMALL
-from parity import differences
+from parity import ORACLES, QUERIES, differences
 
 import __spark_entry__
 
-#: The optional queries have tests of their own.
-QUERIES = {
-    name: query
-    for name, query in __spark_entry__.queries().items()
-    if name != "pipeline" and not re.match(r"op\d+_", name)
-}
-ORACLES = {name: sql for name, sql in __spark_entry__.oracle_sql().items() if name in QUERIES}
-
 
 def test_every_query_has_a_twin():
     assert QUERIES.keys() == ORACLES.keys()

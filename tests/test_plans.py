@@ -8,16 +8,12 @@ import re
 
 import pytest
 from conftest import SMALL
-from parity import TABLES, differences
+from parity import ORACLES, QUERIES, TABLES, differences
 from pyspark.sql import functions as F
 
-import __spark_entry__
 from basketmill.plans.registry import JOBS
 from basketmill.sources.star import StarSource
 
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
-
 
 def plan(df) -> str:
     text = io.StringIO()
