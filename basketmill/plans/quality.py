@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketmill.functions.labels import drop_reason
+from basketmill.functions.labels import BAD_PRICE, BAD_QUANTITY, KEPT, NO_CUSTOMER, NULL_MEASURE, drop_reason
 from basketmill.functions.numeric import money, percent_or_zero
+from basketmill.operators.cleaning import LINE_AMOUNT
+from basketmill.schema import INVOICE_COLUMNS
 from basketmill.sources.lines import LineSource
 
 PROFILED_COLUMNS = ["invoice_no", "stock_code", "description", "invoice_date", "customer_id", "country"]
@@ -14,11 +16,17 @@ PROFILED_COLUMNS = ["invoice_no", "stock_code", "description", "invoice_date", "
 
 def filter_reasons(source: LineSource, null_measures: bool = False) -> DataFrame:
     """Raw lines by the first reason that drops them, with their share of all raw lines."""
-    reason = drop_reason(F.col("customer_id"), F.col("quantity"), F.col("unit_price"), null_measures)
+    # The reason a line has of itself, counted per invoice; then whether the invoice has a customer.
+    of_line = drop_reason(F.lit(0), F.col("quantity"), F.col("unit_price"), null_measures)
+    reasons = [BAD_QUANTITY, BAD_PRICE, NULL_MEASURE, KEPT]
+    counts = {reason: (F.sum, (of_line == reason).cast("bigint")) for reason in reasons}
+    no_customer = {"no_customer": F.col("customer_id").isNull()}
+    counted = source.raw_by(counts, no_customer, "customer_id", "quantity", "unit_price")
     return (
-        source.raw("customer_id", "quantity", "unit_price")
-        .groupBy(reason.alias("reason"))
-        .agg(F.count("*").alias("cnt"))
+        counted.unpivot("no_customer", [F.col(f"`{reason}`") for reason in reasons], "of_line", "n")
+        .filter("n > 0")
+        .groupBy(F.when(F.col("no_customer"), NO_CUSTOMER).otherwise(F.col("of_line")).alias("reason"))
+        .agg(F.sum("n").alias("cnt"))
         # One row per reason is left here.
         .withColumn("pct", percent_or_zero(F.col("cnt"), F.sum("cnt").over(Window.partitionBy())))
         .orderBy(F.desc("cnt"), "reason")
@@ -27,9 +35,16 @@ def filter_reasons(source: LineSource, null_measures: bool = False) -> DataFrame
 
 def missing_profile(source: LineSource) -> DataFrame:
     """Number and share of cleaned lines with a NULL, for each key column, in one pass."""
-    counts = source.detail(*PROFILED_COLUMNS).agg(
-        F.count("*").alias("rows"),
-        *[F.count_if(F.col(name).isNull()).alias(f"miss_{name}") for name in PROFILED_COLUMNS],
+    of_invoice = [name for name in PROFILED_COLUMNS if name in INVOICE_COLUMNS and name != "invoice_no"]
+    of_line = [name for name in PROFILED_COLUMNS if name not in of_invoice]
+    measures = {"lines": (F.sum, F.lit(1).cast("bigint"))} | {name: (F.sum, F.col(name).isNull().cast("bigint")) for name in of_line}
+    keys = {name: F.col(name).isNull() for name in of_invoice}
+    # At most one row for each combination of what invoices lack.
+    parts = source.detail_by(measures, keys, *PROFILED_COLUMNS)
+    missing = {name: F.when(F.col(name), F.col("lines")).otherwise(0) if name in keys else F.col(name) for name in PROFILED_COLUMNS}
+    counts = parts.agg(
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("rows"),
+        *[F.coalesce(F.sum(value), F.lit(0)).alias(f"miss_{name}") for name, value in missing.items()],
     )
     missing = [f"miss_{name}" for name in PROFILED_COLUMNS]
     shares = [percent_or_zero(F.col(name), F.col("rows")).alias(f"{name}_pct") for name in missing]
@@ -38,15 +53,22 @@ def missing_profile(source: LineSource) -> DataFrame:
 
 def value_ranges(source: LineSource) -> DataFrame:
     """Smallest and largest date, quantity and price of the cleaned lines, and their revenue."""
-    lines = source.detail("invoice_date", "quantity", "unit_price", "line_amount")
-    return lines.agg(
+    measures = {
+        "min_quantity": (F.min, F.col("quantity")),
+        "max_quantity": (F.max, F.col("quantity")),
+        "min_unit_price": (F.min, F.col("unit_price")),
+        "max_unit_price": (F.max, F.col("unit_price")),
+        "spend": (F.sum, F.expr(LINE_AMOUNT)),
+    }
+    by_day = source.detail_by(measures, {"invoice_date": F.col("invoice_date")}, "invoice_date", "quantity", "unit_price")
+    return by_day.agg(
         F.min("invoice_date").cast("string").alias("min_invoice_date"),
         F.max("invoice_date").cast("string").alias("max_invoice_date"),
-        F.min("quantity").alias("min_quantity"),
-        F.max("quantity").alias("max_quantity"),
-        F.min("unit_price").cast("double").alias("min_unit_price"),
-        F.max("unit_price").cast("double").alias("max_unit_price"),
-        money(F.sum("line_amount")).alias("gmv"),
+        F.min("min_quantity").alias("min_quantity"),
+        F.max("max_quantity").alias("max_quantity"),
+        F.min("min_unit_price").cast("double").alias("min_unit_price"),
+        F.max("max_unit_price").cast("double").alias("max_unit_price"),
+        money(F.sum("spend")).alias("gmv"),
     )
 
 

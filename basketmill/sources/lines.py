@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketmill.operators.cleaning import clean_lines
 
+#: Name -> aggregate that can be combined from parts (sum, min, max), and the expression over line attributes that it is of.
+Measures = Mapping[str, tuple[Callable[[Column], Column], Column]]
+Keys = Mapping[str, Column]
+
+
+def measured(lines: DataFrame, measures: Measures, keys: Keys) -> DataFrame:
+    """Aggregates of expressions, per distinct values of the keys' expressions."""
+    grouped = lines.groupBy(*[key.alias(name) for name, key in keys.items()])
+    return grouped.agg(*[combine(value).alias(name) for name, (combine, value) in measures.items()])
+
+
+def combined(parts: DataFrame, measures: Measures, keys: Keys) -> DataFrame:
+    """Aggregates of parts that `measured` gave, per distinct values of the keys' expressions."""
+    return measured(parts, {name: (combine, F.col(name)) for name, (combine, _) in measures.items()}, keys)
+
 
 def summed_lines(detail: DataFrame, *keys: str) -> DataFrame:
     """Sum, number and last date of cleaned lines per distinct `keys`."""
@@ -28,12 +45,23 @@ class LineSource:
     Jobs name the columns they need, so that a source can leave out joins nobody asked for.
     """
 
+    #: Whether all lines of an invoice number have the same invoice attributes.
+    invoice_is_key = False
+
     def raw(self, *columns: str) -> DataFrame:
         raise NotImplementedError
 
     def detail(self, *columns: str) -> DataFrame:
         raise NotImplementedError
 
+    def raw_by(self, measures: Measures, keys: Keys, *columns: str) -> DataFrame:
+        """Aggregates of raw lines by expressions over invoice attributes; `columns` are those that either needs."""
+        return measured(self.raw(*columns), measures, keys)
+
+    def detail_by(self, measures: Measures, keys: Keys, *columns: str) -> DataFrame:
+        """Aggregates of cleaned lines by expressions over invoice attributes; `columns` are those that either needs."""
+        return measured(self.detail(*columns), measures, keys)
+
     def spend_by(self, *keys: str) -> DataFrame:
         """One row per distinct `keys` with `spend`, `line_count` and `last_date`; no keys: one row."""
         return summed_lines(self.detail(*keys, "line_amount", "invoice_date"), *keys)

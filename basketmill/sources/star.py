@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from basketmill.functions.text import normalise_product
 from basketmill.operators.cleaning import DATE_COLUMNS, HAS_CUSTOMER, HAS_POSITIVE_MEASURES, LINE_AMOUNT
 from basketmill.schema import INVOICE_COLUMNS, PRICE_TYPE
-from basketmill.sources.lines import LineSource, added_up
+from basketmill.sources.lines import Keys, LineSource, Measures, added_up, combined, measured
 
 # Columns read from each table. Stating them saves the job that would look them up in the files.
 TABLE_COLUMNS = {
@@ -50,6 +50,11 @@ PRODUCT_COLUMNS = {"description", "unit_price"}
 HEADER_COLUMNS = {"customer_id", "country", "invoice_ts", "invoice_date"}
 
 
+def _measured_orders(items: DataFrame, measures: Measures, columns: set[str]) -> DataFrame:
+    lines = items.selectExpr("order_key", *[LINE_KEYS.get(name, name) for name in sorted(columns - HEADER_COLUMNS)])
+    return measured(lines, measures, {"order_key": F.col("order_key")})
+
+
 class StarSource(LineSource):
     """Joins only the tables that the requested columns need.
 
@@ -57,6 +62,8 @@ class StarSource(LineSource):
     an unneeded one changes nothing. No join has a broadcast hint: table sizes decide.
     """
 
+    invoice_is_key = True
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
@@ -75,15 +82,17 @@ class StarSource(LineSource):
 
     def raw(self, *columns: str) -> DataFrame:
         wanted = set(columns)
-        lines = self.table("lineitem").selectExpr(ITEMS)
-        if wanted & PRODUCT_COLUMNS:
-            lines = lines.join(self.table("part").selectExpr(PARTS), "part_key", "left")
+        lines = self._raw_items(wanted)
         if wanted & HEADER_COLUMNS:
             lines = lines.join(self._headers(wanted), "order_key", "left")
         # Raw dates are text, as in a file.
         derived = LINE_KEYS | {"invoice_date": "CAST(invoice_ts AS STRING) AS invoice_date"}
         return lines.selectExpr([derived.get(name, name) for name in columns])
 
+    def _raw_items(self, columns: set[str]) -> DataFrame:
+        items = self.table("lineitem").selectExpr(ITEMS)
+        return items.join(self.table("part").selectExpr(PARTS), "part_key", "left") if columns & PRODUCT_COLUMNS else items
+
     def _kept_items(self, columns: set[str]) -> DataFrame:
         """Items with a positive quantity and price. Product texts are normalised once per product."""
         parts = self.table("part").selectExpr(PARTS)
@@ -101,6 +110,22 @@ class StarSource(LineSource):
         derived = LINE_KEYS | {"line_amount": f"{LINE_AMOUNT} AS line_amount"}
         return lines.selectExpr([derived.get(name, name) for name in wanted])
 
+    def raw_by(self, measures: Measures, keys: Keys, *columns: str) -> DataFrame:
+        """One row per order goes to the join with the headers."""
+        wanted = set(columns)
+        parts = _measured_orders(self._raw_items(wanted), measures, wanted)
+        return combined(parts.join(self._headers(wanted), "order_key", "left"), measures, keys)
+
+    def detail_by(self, measures: Measures, keys: Keys, *columns: str) -> DataFrame:
+        """One row per order goes to the join with the headers, and one per customer and other key to that with the countries."""
+        wanted = set(columns)
+        parts = _measured_orders(self._kept_items(wanted), measures, wanted)
+        parts = parts.join(self._kept_headers(wanted - {"country"}), "order_key")
+        if "country" in wanted:
+            others = {name: F.col(name) for name in ["cust_key", *sorted(wanted & HEADER_COLUMNS - {"country"})]}
+            parts = self._with_country(combined(parts, measures, others))
+        return combined(parts, measures, keys)
+
     def spend_by(self, *keys: str) -> DataFrame:
         """Sums over invoice attributes add up each order's lines before the join with its header.
 

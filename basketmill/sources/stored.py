@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from basketmill.operators.staging import stage
 from basketmill.schema import INVOICE_COLUMNS
-from basketmill.sources.lines import LineSource, added_up
+from basketmill.sources.lines import Keys, LineSource, Measures, added_up
 
 
 class InvoiceSource(LineSource):
@@ -22,12 +22,23 @@ class InvoiceSource(LineSource):
     def detail(self, *columns: str) -> DataFrame:
         return self._lines.detail(*columns)
 
+    def raw_by(self, measures: Measures, keys: Keys, *columns: str) -> DataFrame:
+        return self._lines.raw_by(measures, keys, *columns)
+
+    def detail_by(self, measures: Measures, keys: Keys, *columns: str) -> DataFrame:
+        return self._lines.detail_by(measures, keys, *columns)
+
     def spend_by(self, *keys: str) -> DataFrame:
-        if set(keys) <= set(INVOICE_COLUMNS):
-            return added_up(self._invoices, *keys)
-        return self._lines.spend_by(*keys)
+        if not set(keys) <= set(INVOICE_COLUMNS) & set(self._invoices.columns):
+            return self._lines.spend_by(*keys)
+        if "invoice_no" in keys and self._lines.invoice_is_key:
+            return self._invoices.select(*keys, "spend", "line_count", "last_date")
+        return added_up(self._invoices, *keys)
+
 
+def with_staged_invoices(lines: LineSource, *columns: str) -> InvoiceSource:
+    """Write the invoice sums of a source once, for running many jobs over it.
 
-def with_staged_invoices(lines: LineSource) -> InvoiceSource:
-    """Write the invoice sums of a source once, for running many jobs over it."""
-    return InvoiceSource(lines, stage(lines.spend_by(*INVOICE_COLUMNS), "invoices"))
+    Of the invoice attributes only the named ones are written, all if none is named.
+    """
+    return InvoiceSource(lines, stage(lines.spend_by(*(columns or INVOICE_COLUMNS)), "invoices"))

@@ -73,7 +73,8 @@ def test_every_table_is_scanned_once(plans):
 
 
 def test_lines_are_added_up_before_the_join_with_their_invoice(plans):
-    for name in ("monthly_gmv_mom", "top_countries", "cohort_retention", "repurchase_rate", "hourly_order_volume"):
+    profiles = ("ods_filter_reasons", "dwd_missing_profile", "dwd_value_ranges")
+    for name in (*profiles, "monthly_gmv_mom", "top_countries", "cohort_retention", "repurchase_rate", "hourly_order_volume"):
         join = plans[name].index("SortMergeJoin [order_key")
         assert "HashAggregate(keys=[order_key" in plans[name][join:], name
 
