@@ -1,16 +1,17 @@
-"""Command line: load files, profile the layers, build the result tables, show a job.
+"""Command line: load files, profile the layers, build the result tables, show a job or what was built.
 
     python -m basketmill load lines.csv --location /shared/shop
     python -m basketmill quality --location /shared/shop
     python -m basketmill results --location /shared/shop
     python -m basketmill show top_countries --location /shared/shop
+    python -m basketmill stored cohort_retention_matrix --location /shared/shop
 """
 
 from __future__ import annotations
 
 import argparse
 
-from basketmill.plans.registry import JOBS
+from basketmill.plans.registry import JOBS, RESULT_TABLES, STORED_RESULTS
 from basketmill.session import get_spark, size_session
 from basketmill.sources.files import odd_lines
 from basketmill.warehouse import Warehouse
@@ -39,6 +40,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     show = commands.add_parser("show", parents=[shared], help="run one job and show its rows")
     show.add_argument("job", choices=JOBS)
     show.add_argument("--rows", type=int, default=100)
+    stored = commands.add_parser("stored", parents=[shared], help="show what was built, without reading any line")
+    stored.add_argument("result", choices=[*RESULT_TABLES, *STORED_RESULTS])
+    stored.add_argument("--rows", type=int, default=100)
     return parser.parse_args(argv)
 
 
@@ -56,6 +60,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "results":
         for table, rows in warehouse.build_ads().items():
             print(table, rows)
+    elif args.command == "stored":
+        warehouse.result(args.result).show(args.rows, truncate=False)
     else:
         source = warehouse.source()
         for job in QUALITY_JOBS if args.command == "quality" else [args.job]:

@@ -44,6 +44,13 @@ JOBS: dict[str, Job] = {
     "gmv_by_product": products.gmv_by_product,
 }
 
+#: What is read from a stored result table: the table, and what to make of it.
+STORED_RESULTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "latest_month_top3": ("ads_monthly_top3_products", products.latest_month),
+    "rfm_segment_labels": ("ads_rfm_segments", rfm.with_english_segment),
+    "cohort_retention_matrix": ("ads_cohort_retention", cohort.retention_matrix),
+}
+
 # Jobs whose results are kept as tables.
 RESULT_TABLES: dict[str, Job] = {
     "ads_monthly_top3_products": JOBS["monthly_top3_products"],

@@ -69,3 +69,13 @@ RESULT_COLUMNS = {
     "ads_top_customers": ["CustomerID", "OrderCount", "TotalSpent"],
     "ads_hourly_sales": ["Hour", "OrderVolume"],
 }
+
+# The order in which each result table is read; a minus sign means descending.
+RESULT_ORDER = {
+    "ads_monthly_top3_products": ["sale_month", "rank_in_month"],
+    "ads_monthly_gmv_mom": ["sale_month"],
+    "ads_rfm_segments": ["-segment_gmv", "user_segment"],
+    "ads_cohort_retention": ["cohort_month", "month_offset"],
+    "ads_top_customers": ["-TotalSpent", "CustomerID"],
+    "ads_hourly_sales": ["Hour"],
+}

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from basketmill.operators.cleaning import clean_lines
 from basketmill.plans.layers import published
-from basketmill.plans.registry import RESULT_TABLES, Job
-from basketmill.schema import DETAIL_TABLE, INVOICE_COLUMNS, INVOICE_TABLE, RAW_TABLE, RESULT_PREFIX
+from basketmill.plans.registry import RESULT_TABLES, STORED_RESULTS, Job
+from basketmill.schema import DETAIL_TABLE, INVOICE_COLUMNS, INVOICE_TABLE, RAW_TABLE, RESULT_COLUMNS, RESULT_ORDER, RESULT_PREFIX
 from basketmill.sources.files import read_invoice_csv
 from basketmill.sources.lines import FrameSource, LineSource, summed_lines
 from basketmill.sources.stored import InvoiceSource
@@ -88,7 +88,15 @@ class Warehouse:
     def build_ads(self, source: LineSource | None = None, jobs: Mapping[str, Job] = RESULT_TABLES) -> dict[str, int]:
         """Run every job, replace its result table, and report the rows of each."""
         source = source or self.source()
-        return {table: self.write(job(source), table) for table, job in jobs.items()}
+        return {table: self.write(job(source).select(RESULT_COLUMNS[table]), table) for table, job in jobs.items()}
+
+    def result(self, name: str) -> DataFrame:
+        """A built result table in its order, or one of `STORED_RESULTS`, made from a built table without reading any line."""
+        if name in STORED_RESULTS:
+            table, made = STORED_RESULTS[name]
+            return made(self.table(table))
+        order = [F.desc(column[1:]) if column[0] == "-" else F.asc(column) for column in RESULT_ORDER[name]]
+        return self.table(name).orderBy(*order)
 
     def register_views(self, raw_view: str, detail_view: str) -> None:
         """Temporary views of both layers under the column names of the source file, for SQL of one's own."""

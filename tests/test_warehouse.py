@@ -6,7 +6,7 @@ import pytest
 from lines import rows
 from pyspark.sql import functions as F
 
-from basketmill.plans.registry import JOBS
+from basketmill.plans.registry import JOBS, RESULT_TABLES
 from basketmill.schema import RESULT_COLUMNS
 from basketmill.session import sized_for
 from basketmill.warehouse import Warehouse
@@ -96,9 +96,21 @@ def test_command_line(spark, warehouse, capsys):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
         main(["show", "repurchase_rate", *here])
         main(["results", *here])
+        main(["stored", "rfm_segment_labels", *here])
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
     with pytest.raises(SystemExit):
         main(["quality", "--database", "shop"])
     output = capsys.readouterr().out
     assert "drop:CustomerID_is_null" in output and "repurchase_rate_pct" in output and "ads_rfm_segments 6" in output
+    assert "Champions" in output
+
+
+def test_stored_results_need_no_line(warehouse, star):
+    warehouse.build_ads()
+    for name in ("latest_month_top3", "rfm_segment_labels", "cohort_retention_matrix"):
+        stored = warehouse.result(name)
+        assert "sales" not in stored._jdf.queryExecution().toString().lower()
+        assert sorted(rows(stored), key=str) == sorted(rows(JOBS[name](star)), key=str)
+    for name, job in RESULT_TABLES.items():
+        assert rows(warehouse.result(name)) == rows(job(star)), name
