@@ -43,11 +43,16 @@ CLOSED_BY = {
 }
 #: Words in class, id or role that mark what is not the article.
 BOILERPLATE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary"
-    " contentinfo cookie cookies consent disqus footer login masthead menu modal nav navbar navigation newsletter notice"
+    "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments complementary"
+    " contentinfo cookie cookies consent disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice"
     " notices pager pagination popup promo promotion related respond search share sharing sidebar signup skip social"
     " sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Words that mark what readers wrote, also on an article element of its own.
+READER_WORDS = frozenset("comment comments commentlist reply replies response responses respond".split())
+#: Words that mark a header as the article's own.
+OWN_HEADER_WORDS = frozenset("article entry post story content".split())
+MARK_BORDER = re.compile(r"[\s_-]+|(?<=[a-z])(?=[A-Z])")
 STOP_WORDS = frozenset(
     # English
     "the of and to in a is that it for was on are as with be by this at from or have an which not you but his they"
@@ -111,10 +116,17 @@ class _Builder:
 def _is_boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     if name in BOILERPLATE_TAGS or (name == "header" and not in_article):
         return True
-    if name in ("html", "body", "article", "main") or not attributes:
+    if name in ("html", "body", "main") or not attributes:
         return False
     marks = " ".join(next(filter(None, found), "") for found in MARKS.findall(attributes))
-    return not BOILERPLATE_WORDS.isdisjoint(re.split(r"[\s_-]+", marks.lower()))
+    words = {word.lower() for word in MARK_BORDER.split(marks)} | set(MARK_BORDER.split(marks.lower()))
+    if name == "article":  # its classes also tell whether it may be commented on
+        return not READER_WORDS.isdisjoint(marks.lower().split())
+    if not READER_WORDS.isdisjoint(words):
+        return True
+    if not in_article and "header" in words and OWN_HEADER_WORDS.isdisjoint(words):
+        return True
+    return not BOILERPLATE_WORDS.isdisjoint(words)
 
 
 def blocks_of(page: str) -> list[Block]:

@@ -179,6 +179,20 @@ def test_html_text(spark):
     assert html_text.extract_text(pages.limit(0)).count() == 0
 
 
+def test_html_marks():
+    """What classes and ids mark as no part of the article, in any way of writing them."""
+    long = "It is not clear what the cost of the work will be, but those in charge of it have said that they will not ask for more."
+    page = "<body>{}<div class=post><h1>Title</h1><p>" + long + "</p></div>{}</body>"
+    expected = f"Title\n\n{long}"
+    for mark in ("cookieBanner", "sideBar sidebar", "gdpr-note", "commentSection", "reader_responses", "commentlist", "site-header"):
+        other = f"<div class='{mark}'><p>Other words. {long}</p></div>"
+        assert html_text.main_text(page.format(other, "")) == expected, mark
+        assert html_text.main_text(page.format("", other)) == expected, mark
+    in_article = f"<article class='post comments-open'><p>{long}</p></article><article class='comment'><p>Me too. {long}</p></article>"
+    assert html_text.main_text(in_article) == long
+    assert html_text.main_text(f"<div class='entry-header'><h1>Title</h1></div><p>{long}</p>") == expected
+
+
 def test_html_text_of_all_pages(spark):
     import html
     import re
