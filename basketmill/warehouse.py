@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from basketmill.operators.cleaning import clean_lines
 from basketmill.plans.layers import published
@@ -17,11 +20,17 @@ from basketmill.sources.lines import FrameSource, LineSource, summed_lines
 from basketmill.sources.stored import InvoiceSource
 
 
+#: Folder below a location that tells which versions of each table are complete.
+VERSIONS = "versions"
+
+
 class Warehouse:
     """Tables of one database, each rebuilt as a whole.
 
     With a `location` the tables are parquet folders below it, which a later session can attach;
-    otherwise they live in the session's warehouse directory.
+    otherwise they live in the session's warehouse directory. A rebuilt table takes the place of the
+    old one once it is written in full; if writing fails, the old one stays. At a location the version before
+    stays as well, for jobs that still read it; the ones before that are emptied.
     """
 
     def __init__(self, spark: SparkSession, database: str = "default", location: str | None = None):
@@ -37,28 +46,55 @@ class Warehouse:
         if partition_by:
             # One or a few files per partition value; a value with very many rows is split further.
             df = df.hint("rebalance", partition_by)
-        writer = df.write.mode("overwrite").format("parquet")
+        writer = df.write.format("parquet")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         if self.location:
-            writer = writer.option("path", f"{self.location}/{table}")
-        writer.saveAsTable(self.name(table))
+            version, before = time.time_ns(), self._versions(table)
+            writer.save(self._folder(table, version))
+            done = self.spark.range(version, version + 1, numPartitions=1).withColumnRenamed("id", "version")
+            done.write.mode("append").parquet(f"{self.location}/{VERSIONS}/{table}")
+            self._point(table, version, None if partition_by else df.schema)
+            for old in before[:-1][-1:]:
+                folder = self._folder(table, old)
+                nothing = self.spark.createDataFrame([], self.spark.read.parquet(folder).schema)
+                nothing.write.mode("overwrite").parquet(folder)
+        else:
+            fresh = f"{self.name(table)}_{uuid.uuid4().hex}"
+            writer.saveAsTable(fresh)
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+            self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {self.name(table)}")
+            if partition_by:  # the catalog looks for them where they were written
+                self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)} SYNC PARTITIONS")
         return self.table(table).count()
 
-    def _attach(self, table: str) -> bool:
-        """Register a table that an earlier session wrote below the location."""
-        if not self.location:
-            return False
+    def _folder(self, table: str, version: int) -> str:
+        return f"{self.location}/{table}/{version}"
+
+    def _versions(self, table: str) -> list[int]:
+        """Complete versions below the location, oldest first."""
         try:
-            self.spark.catalog.createTable(self.name(table), path=f"{self.location}/{table}", source="parquet")
+            found = self.spark.read.schema("version long").parquet(f"{self.location}/{VERSIONS}/{table}")
         except AnalysisException as error:
             # Only a folder that isn't there means that the table was never built.
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return False
-        if any(column.isPartition for column in self.spark.catalog.listColumns(self.name(table))):
+            return []
+        return sorted(row["version"] for row in found.collect())
+
+    def _point(self, table: str, version: int, schema: StructType | None = None) -> None:
+        """Let the catalog's table be a version below the location; no data is dropped."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+        self.spark.catalog.createTable(self.name(table), self._folder(table, version), "parquet", schema)
+        if schema is None and any(column.isPartition for column in self.spark.catalog.listColumns(self.name(table))):
             self.spark.catalog.recoverPartitions(self.name(table))
-        return True
+
+    def _attach(self, table: str) -> bool:
+        """Register a table that an earlier session wrote below the location."""
+        versions = self._versions(table) if self.location else []
+        if versions:
+            self._point(table, versions[-1])
+        return bool(versions)
 
     def table(self, table: str) -> DataFrame:
         """A stored table; an error that names it if it was never built."""

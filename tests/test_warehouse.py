@@ -57,6 +57,23 @@ def test_result_tables_are_replaced(warehouse, star):
     )
 
 
+def test_a_failed_rebuild_keeps_the_table(spark, tmp_path):
+    spark.sql("CREATE DATABASE safe")
+    for place in (None, str(tmp_path)):
+        here = Warehouse(spark, "safe", place)
+        assert here.write(spark.range(5), "numbers") == 5
+        with pytest.raises(Exception, match="no more"):
+            here.write(spark.range(9).selectExpr("id", "IF(id = 7, raise_error('no more'), 1) AS one"), "numbers")
+        assert sorted(rows(here.table("numbers"))) == [(n,) for n in range(5)]
+        assert Warehouse(spark, "safe", place).table("numbers").count() == 5
+        for size in (6, 7, 8):  # a table may be replaced by what is read from it, and by other columns
+            grown = here.table("numbers").unionByName(spark.range(size - 1, size))
+            assert here.write(grown, "numbers") == size
+        assert here.write(spark.range(3).selectExpr("id", "id % 2 AS odd"), "numbers", partition_by="odd") == 3
+        assert sorted(rows(here.table("numbers"))) == [(0, 0), (1, 1), (2, 0)]
+        spark.sql("DROP TABLE safe.numbers")
+
+
 def test_detail_table_by_month(warehouse, star):
     assert warehouse.build_dwd(by_month=True) == 3417
     month = warehouse.source().detail("sale_month", "line_amount").filter("sale_month = DATE'1998-10-01'")
