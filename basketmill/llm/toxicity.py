@@ -57,7 +57,7 @@ def features(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Toxicity:
-    """Selected features, a weight for each, and the bias; without positives to learn from every score is 0."""
+    """Selected features, a weight for each, and the bias; with nothing to learn from the positives every score is 0."""
 
     identity: str
     names: list[str]
@@ -148,13 +148,18 @@ def train_nnpu(
     return theta[:-1], float(theta[-1])
 
 
-def threshold(positives: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The logit, midway between two that occur, where recall squared / share of unlabelled above is largest."""
-    values = np.unique(np.concatenate([positives, unlabelled]))
+def threshold(positives: np.ndarray, unlabelled: np.ndarray, plain: float) -> float:
+    """The logit, midway between two that occur, where recall squared / share of unlabelled above is largest.
+
+    It lies above `plain`, the logit of a text without any feature; infinity if none there is better than to call all texts positive.
+    """
+    values = np.unique(np.concatenate([positives, unlabelled, [plain]]))
     above_p = 1 - np.searchsorted(np.sort(positives), values) / len(positives)
     above_u = 1 - np.searchsorted(np.sort(unlabelled), values) / len(unlabelled)
-    best = int(np.argmax(above_p**2 / np.maximum(above_u, 1 / len(unlabelled))))
-    return float(values[best] if best == 0 else (values[best - 1] + values[best]) / 2)
+    gain = above_p**2 / np.maximum(above_u, 1 / len(unlabelled))
+    gain[values <= plain] = 1.0  # that of all texts
+    best = int(np.argmax(gain))
+    return float((values[best - 1] + values[best]) / 2) if gain[best] > 1 and values[best] > plain else np.inf
 
 
 def _sample_of(ids: DataFrame, most: int) -> DataFrame:
@@ -202,6 +207,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: st
     evidence = (F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(pooled)
     best = found.withColumn("z", evidence).filter(F.col("z") >= LEAST_EVIDENCE).orderBy(F.desc("z"), "name")
     names = [row["name"] for row in best.limit(MOST_FEATURES).select("name").collect()]
+    if not names:
+        return Toxicity(uuid4().hex, [], np.zeros(0), -np.inf)
 
     def indexed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         finder = FeatureFinder(names)
@@ -215,12 +222,12 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: st
     models = [train_nnpu(positives, unlabelled, len(names), prior, seed) for seed in range(MODELS)]
     weights = np.mean([weights for weights, _ in models], axis=0)
     bias = float(np.mean([bias for _, bias in models]))
-    bias -= threshold(_logits(positives, weights, bias), _logits(unlabelled, weights, bias))
+    bias -= threshold(_logits(positives, weights, bias), _logits(unlabelled, weights, bias), bias)
     return Toxicity(uuid4().hex, names, weights, bias)
 
 
 def toxicity_score(docs: DataFrame, text: str, model: Toxicity) -> Column:
-    """Column of the score from 0 to 1 of a text column; null and empty texts have no feature and get the model's lowest plain score."""
+    """Column of the score from 0 to 1 of a text column; null and empty texts have no feature and score below 0.5."""
     spark = docs.sparkSession
     ship_code(spark)
     shared = spark.sparkContext.broadcast(model)
@@ -245,7 +252,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, modulus: int = 5, remain
     """Per row: doc_id, held_out, score, predicted (1 if score >= 0.5).
 
     Every input row gives one row, repeated ids included; columns beside doc_id and text are not read. Labels of held-out ids
-    are not learnt from, nor are their texts. Without any positive label all scores are 0. An empty table gives an empty one.
+    are not learnt from, nor are their texts. Where no positive label is learnt from, no feature tells the positives apart, or no
+    threshold is better than to call all texts toxic, all scores are 0. An empty table gives an empty one.
     """
     held = held_out(modulus, remainder)
     model = train_toxicity(docs, labels, ~held)

@@ -7,6 +7,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
@@ -102,6 +103,27 @@ def test_toxicity(spark, odd, none):
         assert toxicity.score_documents(none, label_rows).count() == 0
 
 
+@pytest.mark.parametrize("positives", [1, 2, 3])
+def test_toxicity_of_few_positives(spark, tmp_path, positives):
+    """Nothing to learn from, so that no text is toxic and none is dropped, the empty ones included."""
+    learnt = [doc_id for doc_id in range(40) if zlib.crc32(str(doc_id).encode()) % 5]
+    docs = spark.createDataFrame([(at, "" if at % 7 == 0 else f"the text {at} has words") for at in range(40)], "doc_id long, text string")
+    rows = [(doc_id, 0, int(at < positives)) for at, doc_id in enumerate(learnt)]
+    spark.createDataFrame(rows, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    scored = toxicity.score_documents(docs, spark.read.parquet(f"{tmp_path}/labels.parquet")).collect()
+    assert len(scored) == 40 and all(row["score"] < 0.5 and row["predicted"] == 0 for row in scored)
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == 40
+
+
+def test_toxicity_threshold_is_above_plain_texts():
+    flat = np.full(9, -1.0)
+    assert toxicity.threshold(flat[:3], flat, -1.0) == np.inf
+    # No better than all texts, and better only below a text without features.
+    assert toxicity.threshold(np.array([0.0, 1.0]), np.array([0.0, 1.0]), 0.0) == np.inf
+    assert toxicity.threshold(np.array([0.0, 0.0]), np.array([-1.0, 0.0, 0.0]), 0.0) == np.inf
+    assert toxicity.threshold(np.array([0.0, 2.0, 2.0]), np.array([0.0] * 9 + [2.0]), 0.0) == 1.0
+
+
 def test_nnpu_learns_without_negatives():
     rng = np.random.default_rng(0)
     positives = [[0, *map(int, rng.integers(1, 30, 3))] for _ in range(200)]
