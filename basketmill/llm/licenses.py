@@ -1,9 +1,10 @@
 """Licence scan: a paragraph classifier over word n-grams, confirmed by comparison with templates.
 
-Words and pairs of words of a paragraph are hashed to `FEATURES` numbers, each occurrence counts 1 / sqrt(all occurrences).
-A logistic regression tells licence statements from other text; for paragraphs that it does not rule out, a
+Units are single lines, and windows of words over each run of lines without an empty one between them, so that neither line breaks
+nor text around a statement hide it. Words and pairs of words of a unit are hashed to `FEATURES` numbers, each occurrence counts 1 / sqrt(all occurrences).
+A logistic regression tells licence statements from other text; for units that it does not rule out, a
 second one with a class for each licence family and one for unknown text gives probabilities, whose temperature is set on
-held-out paragraphs. A predicted family is confirmed if the paragraph holds most of the n-grams of one of its templates.
+held-out paragraphs. A predicted family is confirmed if the unit holds most of the n-grams of one of its templates.
 
 Both are trained by the driver on the templates, altered copies of them, near misses, and a bounded sample of the documents'
 paragraphs as unknown text. Scoring is a column expression; the models are constants of the plan.
@@ -32,9 +33,18 @@ MOST_DOCUMENTS = 600
 LONGEST_SAMPLE = 20_000
 #: Altered copies of each template.
 COPIES = 40
+#: Passages of unknown text of a window's length.
+PASSAGES = 4000
 #: Least probability of being a licence statement at all for the second model to be asked.
 PASSING = 0.02
+#: The same of a window; several hold a statement, so that one of them has little else.
+PASSING_WINDOW = 0.3
 ACCEPT = 0.5
+#: Windows over longer paragraphs: words in a step, and widths in steps. Each begins half a width after the one before.
+STEP = 6
+WINDOWS = (2, 4, 10)
+#: Comment marks that are words.
+COMMENT_WORDS = ("dnl", "rem")
 CONFIRM = 0.6
 
 # Notices by which the licences of each family are commonly stated.
@@ -202,6 +212,23 @@ def _altered(template: str, others: list[str], rng: random.Random) -> str:
     return " ".join(words)
 
 
+def _within(template: str, others: list[str], rng: random.Random) -> str:
+    """A copy in the smallest window that always holds it, filled up with other text before and after it."""
+    size = len(template.split())
+    width = next((one * STEP for one in WINDOWS if size <= (one // 2 + 1) * STEP), WINDOWS[-1] * STEP)
+    room = max(0, width - len(_split(template)))
+    before, after = (rng.choice(others).split() for _ in range(2))
+    cut = rng.randint(0, room)
+    return " ".join([*before[max(0, len(before) - cut) :], template, *after[: room - cut]])
+
+
+def _passage(unknown: list[str], rng: random.Random) -> str:
+    """As many words of unknown text as a window has."""
+    words, width = rng.choice(unknown).split(), rng.choice(WINDOWS) * STEP
+    start = rng.randint(0, max(0, len(words) - width))
+    return " ".join(words[start : start + width])
+
+
 def train(unknown: list[str], seed: int = 0) -> Classifier:
     """Fit both models; `unknown` are paragraphs that hold no template's n-grams."""
     rng = random.Random(seed)
@@ -209,11 +236,12 @@ def train(unknown: list[str], seed: int = 0) -> Classifier:
     for number, templates in enumerate(TEMPLATES.values()):
         for template in templates:
             copies = [template, *(_altered(template, unknown, rng) for _ in range(COPIES))]
+            copies += [_within(template, [*unknown, *NEAR_MISSES], rng) for _ in range(COPIES // 2)]
             paragraphs += copies
             truth += [number] * len(copies)
     words = [word for templates in TEMPLATES.values() for template in templates for word in template.split()]
     mixed = [" ".join(rng.sample(words, rng.randint(1, 12))) for _ in range(200)]
-    others = [*unknown, *NEAR_MISSES * 5, *mixed]
+    others = [*unknown, *NEAR_MISSES * 5, *mixed, *(_passage(unknown, rng) for _ in range(PASSAGES if unknown else 0))]
     paragraphs += others
     truth += [len(TEMPLATES)] * len(others)
     order = rng.sample(range(len(paragraphs)), len(paragraphs))
@@ -247,17 +275,24 @@ def _words(paragraph: Column) -> Column:
     return F.filter(F.split(F.lower(paragraph), WORD_BORDER), lambda word: word != "")
 
 
-def _logit(words: Column, weights: np.ndarray, bias: float) -> Column:
-    """The score of a paragraph's words."""
+def _weights(words: Column, weights: np.ndarray) -> Column:
+    """What each word, and the pair with the word before it, add to the score."""
     table = _constant([round(float(weight), 6) for weight in weights], "array<double>")
 
     def weight(*hashed: Column) -> Column:
         return F.get(table, F.pmod(F.xxhash64(*hashed), F.lit(FEATURES)).cast("int"))
 
     # The hash passes over a null: before the first word there is none, so that one counts twice.
-    each = F.transform(words, lambda word, at: weight(word) + weight(F.get(words, at - 1), word))
-    total = F.aggregate(each, F.lit(0.0), lambda total, one: total + one)
-    return total / F.sqrt(2 * F.size(words)) + F.lit(bias)
+    return F.transform(words, lambda word, at: weight(word) + weight(F.get(words, at - 1), word))
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, one: total + one)
+
+
+def _logit(words: Column, weights: np.ndarray, bias: float) -> Column:
+    """The score of a paragraph's words."""
+    return _sum(_weights(words, weights)) / F.sqrt(2 * F.size(words)) + F.lit(bias)
 
 
 def unknown_sample(paragraphs: DataFrame) -> list[str]:
@@ -269,12 +304,131 @@ def unknown_sample(paragraphs: DataFrame) -> list[str]:
     return [one for one in found if sum(ngram in known for ngram in set(ngrams(one))) < 2]
 
 
+def _paragraphs(lines: Column) -> Column:
+    """Runs of lines that have a word each: position of the first line, and the lines."""
+    at = F.sequence(F.lit(0), F.size(lines) - 1)
+
+    def filled(number: Column) -> Column:
+        return F.coalesce(F.get(lines, number).rlike(r"[\p{L}\p{N}]"), F.lit(False))
+
+    def runs(has: Column) -> Column:
+        def has_word(number: Column) -> Column:
+            return F.coalesce(F.get(has, number), F.lit(False))
+
+        starts = F.filter(at, lambda number: has_word(number) & ~has_word(number - 1))
+        ends = F.filter(at, lambda number: has_word(number) & ~has_word(number + 1))
+        return F.zip_with(
+            starts,
+            ends,
+            lambda start, end: F.struct(start.alias("position"), F.slice(lines, start + 1, end - start + 1).alias("lines")),
+        )
+
+    return _with(F.transform(at, filled), runs)
+
+
+def _line_words(line: Column) -> Column:
+    """The words of a line without a comment mark of letters before them; marks of other characters are no words anyway."""
+    return _with(_words(line), lambda words: F.when(_marked(words), F.slice(words, 2, F.size(words))).otherwise(words))
+
+
+def _marked(words: Column) -> Column:
+    return (F.size(words) > 1) & F.coalesce(F.get(words, F.lit(0)).isin(*COMMENT_WORDS), F.lit(False))
+
+
+def _unit(line: Column, first: Column, size: Column) -> Column:
+    return F.struct(line.cast("int").alias("line"), first.cast("int").alias("first"), size.cast("int").alias("size"))
+
+
+def _passing(lines: Column, weights: np.ndarray, bias: float) -> Column:
+    """Units of a paragraph that may be licence statements: each line, and windows over the words of all lines.
+
+    A window's score takes over the weights of the lines' words, so that words on either side of a line's end are no pair in it.
+    """
+    of_line, of_window = (float(np.log(one / (1 - one))) - bias for one in (PASSING, PASSING_WINDOW))
+    nothing = F.lit(None).cast("int")
+
+    def enough(total: Column, size: Column, least: float) -> Column:
+        return (size > 0) & (total >= least * F.sqrt(2 * size))
+
+    def whole_lines(by_line: Column) -> Column:
+        found = F.transform(by_line, lambda each, at: F.when(enough(_sum(each), F.size(each), of_line), _unit(at, nothing, nothing)))
+        return F.filter(found, lambda one: one.isNotNull())
+
+    def windows(each: Column, more_lines: Column) -> Column:
+        size = F.size(each)
+
+        def of_width(steps: Column, before: int, width: int) -> Column:
+            def window(start: Column) -> Column:
+                words = F.least(F.lit(width * STEP), size - start * STEP)
+                total = _sum(F.slice(steps, start + 1, F.lit(width)))
+                return F.when(enough(total, words, of_window), _unit(nothing, start * STEP, words))
+
+            count, half = F.size(steps), width // 2
+            starts = F.sequence(F.lit(0), F.greatest(F.lit(0), count - half - 1), F.lit(half))
+            # Fewer words are one window of the size before, or a single line.
+            needed = count > before if before else more_lines | (count > width)
+            found = F.filter(F.transform(starts, window), lambda one: one.isNotNull())
+            return F.when(needed, found).otherwise(F.array().cast("array<struct<line:int,first:int,size:int>>"))
+
+        def of_steps(steps: Column) -> Column:
+            return F.concat(*(of_width(steps, before, width) for before, width in zip((0, *WINDOWS), WINDOWS, strict=False)))
+
+        steps = F.transform(
+            F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((size - 1) / STEP).cast("int"))),
+            lambda number: _sum(F.slice(each, number * STEP + 1, F.lit(STEP))),
+        )
+        return _with(steps, of_steps)
+
+    def units(by_line: Column) -> Column:
+        return F.concat(whole_lines(by_line), _with(F.flatten(by_line), lambda each: windows(each, F.size(by_line) > 1)))
+
+    return _with(F.transform(lines, lambda line: _with(_line_words(line), lambda words: _weights(words, weights))), units)
+
+
+def _tokens(lines: Column) -> Column:
+    """Words of the lines, each with the text up to the next word and the number of its line."""
+
+    def of_line(line: Column, at: Column) -> Column:
+        def paired(words: Column, pieces: Column) -> Column:
+            both = F.zip_with(
+                words,
+                # Lower case may have other words.
+                F.when(F.size(pieces) == F.size(words), pieces).otherwise(F.transform(words, lambda word: F.concat(word, F.lit(" ")))),
+                lambda word, piece: F.struct(word.alias("word"), piece.alias("piece"), at.cast("int").alias("line")),
+            )
+            return F.when(_marked(words), F.slice(both, 2, F.size(both))).otherwise(both)
+
+        pieces = F.split(F.regexp_replace(F.concat(line, F.lit(" ")), r"^[^\p{L}\p{N}]+", ""), r"(?<=[^\p{L}\p{N}])(?=[\p{L}\p{N}])")
+        return _with(_words(line), lambda words: _with(pieces, lambda found: paired(words, found)))
+
+    return F.flatten(F.transform(lines, of_line))
+
+
+def _ngrams(words: Column) -> Column:
+    pair = F.size(words) - 1
+    pairs = F.zip_with(F.slice(words, F.lit(1), pair), F.slice(words, F.lit(2), pair), lambda one, other: F.concat_ws(" ", one, other))
+    return F.concat(words, pairs)
+
+
+def _best_apart(units: Column) -> Column:
+    """The units, best first, that share no matched word with one taken before."""
+
+    def take(taken: Column, one: Column) -> Column:
+        clash = F.exists(taken, lambda other: (other["begin"] <= one["end"]) & (one["begin"] <= other["end"]))
+        return F.when(clash, taken).otherwise(F.concat(taken, F.array(one)))
+
+    return F.aggregate(units, F.slice(units, 1, 0), take)
+
+
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unconfirmed: bool = False) -> DataFrame:
-    """Per licence paragraph: doc_id, paragraph (from 0), family, probability, similarity, confirmed, statement.
+    """Per licence statement: doc_id, paragraph (number of its first line, from 0), family, probability, similarity, confirmed, statement.
 
-    A paragraph is a line. One row is given for each whose most likely class is a family with probability `ACCEPT` or more and
+    Units are lines, and overlapping windows of words over each run of lines that have words, so that wrapped statements and
+    those within long lines are found. A unit counts whose most likely class is a family with probability `ACCEPT` or more and
     that a template confirms, or without the latter if `unconfirmed`. similarity is the largest share of a template's n-grams
-    that the paragraph holds, over the family's templates; `CONFIRM` or more confirms it. Repeated documents are scanned each; other input columns are ignored. Null and empty texts
+    that the unit holds, over the family's templates; `CONFIRM` or more confirms it. Of units that share words which match their templates
+    the most similar one is given, a line before a window; a window's statement begins and ends with words that match.
+    Repeated documents are scanned each; other input columns are ignored. Null and empty texts
     have no licence; a null id stays null. An empty table gives an empty one.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -284,15 +438,30 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unconfirme
     sampled = docs.join(F.broadcast(drawn), "doc_id")  # ids only, of bounded number
     model = train(unknown_sample(sampled.select("doc_id", lines)))
 
-    odds = _with(
-        _words(F.col("paragraph")),
-        lambda words: F.when(F.size(words) > 0, _logit(words, model.licence, model.licence_bias)),
-    )
-    rows = docs.select("doc_id", lines).filter(odds >= float(np.log(PASSING / (1 - PASSING))))
+    rows = docs.select("doc_id", F.explode(_with(F.split("text", "\n"), _paragraphs)).alias("run")).select("doc_id", "run.*")
+    rows = rows.withColumn("units", _passing(F.col("lines"), model.licence, model.licence_bias)).filter(F.size("units") > 0)
     # Few paragraphs come as far as this. They are written, so that what follows isn't drawn into the filter above.
-    rows = stage(rows, "licence-candidates")
+    rows = stage(rows, "licence-candidates").withColumn("run", F.monotonically_increasing_id())
+    tokens = _with(
+        _tokens(F.col("lines")),
+        lambda tokens: F.transform(
+            "units",
+            lambda unit: F.struct(
+                unit["line"].alias("line"),
+                F.get(F.col("lines"), unit["line"]).alias("whole"),
+                F.coalesce(unit["first"], F.lit(0)).alias("first"),
+                F.when(unit["line"].isNull(), F.slice(tokens, unit["first"] + 1, unit["size"]))
+                .otherwise(F.filter(tokens, lambda token: token["line"] == unit["line"]))
+                .alias("tokens"),
+                F.when(unit["line"].isNotNull(), F.size(F.filter(tokens, lambda token: token["line"] < unit["line"]))).alias("before"),
+            ),
+        ),
+    )
+    rows = rows.select("doc_id", "position", "run", F.explode(tokens).alias("unit")).select("doc_id", "position", "run", "unit.*")
+    rows = rows.withColumn("first", F.coalesce("before", "first")).drop("before")
+    rows = stage(rows, "licence-units")
     # Few bytes but much to do for each, so not dealt out by size.
-    rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "position")
+    rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run", "line", "first", F.size("tokens"))
 
     def guess(words: Column) -> Column:
         classes = zip(model.families, model.family_bias, strict=True)
@@ -303,24 +472,46 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unconfirme
         total = F.aggregate(F.transform(logits, lambda one: F.exp(one - top)), F.lit(0.0), lambda total, one: total + one)
         return F.struct((1 / total).alias("probability"), F.array_position(logits, top).cast("int").alias("class"))
 
-    guessed = _with(_with(_words(F.col("paragraph")), guess), most_likely)
+    guessed = _with(_with(F.col("tokens.word"), guess), most_likely)
     rows = stage(rows.select("*", guessed.alias("guess")).select("*", "guess.*").drop("guess"), "licence-guesses")
     rows = rows.filter((F.col("class") < len(FAMILIES)) & (F.col("probability") >= ACCEPT))
-    rows = rows.withColumn("words", _words(F.col("paragraph")))
-    pair = F.size("words") - 1
-    pairs = F.zip_with(
-        F.slice("words", F.lit(1), pair), F.slice("words", F.lit(2), pair), lambda one, other: F.concat_ws(" ", one, other)
-    )
-    rows = rows.withColumn("ngrams", F.concat("words", pairs))
+    rows = rows.withColumn("ngrams", _ngrams(F.col("tokens.word")))
     templates = [[sorted(set(ngrams(one))) for one in TEMPLATES[family]] for family in TEMPLATES]
     known = F.get(_constant(templates, "array<array<array<string>>>"), F.col("class") - 1)
-    shares = F.transform(known, lambda one: F.size(F.array_intersect(one, F.col("ngrams"))) / F.size(one))
-    found = rows.select(
+    shares = F.transform(known, lambda one: F.struct((F.size(F.array_intersect(one, F.col("ngrams"))) / F.size(one)).alias("share"), one.alias("template")))
+    rows = rows.withColumn("best", F.array_max(shares)).withColumn("similarity", F.col("best.share"))
+    rows = rows.withColumn("confirmed", F.col("similarity") >= CONFIRM)
+    rows = rows if unconfirmed else rows.filter("confirmed")
+    # From the first to the last pair of the template, or the whole unit without any.
+    size = F.size("tokens")
+    pairs = F.slice("ngrams", size + 1, size)
+    matched = F.filter(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), size - 2)),
+        lambda at: F.array_contains(F.col("best.template"), F.get(pairs, at)),
+    )
+    rows = rows.withColumn("matched", matched)
+    rows = rows.withColumn("from", F.coalesce(F.array_min("matched"), F.lit(0)))
+    rows = rows.withColumn("count", F.coalesce(F.array_max("matched") + 2, size) - F.col("from"))
+    inner = F.slice("tokens", F.col("from") + 1, "count")
+    is_line = F.col("line").isNotNull()
+    rows = rows.select(
         "doc_id",
-        F.col("position").alias("paragraph"),
-        F.get(_constant(list(FAMILIES), "array<string>"), F.col("class") - 1).alias("family"),
-        "probability",
-        F.array_max(shares).alias("similarity"),
-        F.col("paragraph").alias("statement"),
-    ).withColumn("confirmed", F.col("similarity") >= CONFIRM)
-    return found if unconfirmed else found.filter("confirmed")
+        "run",
+        F.struct(
+            (-F.col("similarity")).alias("order"),
+            (~is_line).alias("window"),
+            (-F.col("probability")).alias("unlikely"),
+            (F.col("first") + F.col("from")).alias("begin"),
+            (F.col("first") + F.col("from") + F.col("count") - 1).alias("end"),
+            (F.col("position") + F.coalesce("line", F.get(inner, F.lit(0))["line"])).alias("paragraph"),
+            F.get(_constant(list(FAMILIES), "array<string>"), F.col("class") - 1).alias("family"),
+            "probability",
+            "similarity",
+            "confirmed",
+            F.coalesce("whole", F.trim(F.array_join(F.transform(inner, lambda token: token["piece"]), ""))).alias("statement"),
+        ).alias("unit"),
+    )
+    rows = rows.groupBy("run").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list("unit")).alias("units"))
+    rows = rows.select("doc_id", F.explode(_best_apart(F.col("units"))).alias("unit"))
+    names = ("paragraph", "family", "probability", "similarity", "statement", "confirmed")
+    return rows.select("doc_id", *(f"unit.{name}" for name in names))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import textwrap
 import zlib
 from collections import defaultdict
 
@@ -169,6 +170,33 @@ def test_licenses(spark, odd, none):
     assert [(row["paragraph"], row["family"]) for row in licenses.scan(more).collect()] == [(1, "MIT")]
 
 
+def test_licenses_wrapped_and_embedded(spark):
+    """Notices broken over lines with comment marks, and within long lines or paragraphs of other words."""
+    prose = "The old harbour was rebuilt after the war and many families came back to live by the sea where they had been before. "
+    forms = {
+        "marked": lambda notice: "x = 1\n\n" + "\n".join(f"# {line}" for line in textwrap.wrap(notice, 60)) + "\n#\n\ny = 2",
+        "block": lambda notice: "/*\n" + "\n".join(f" * {line}" for line in textwrap.wrap(notice, 72)) + "\n */\nint main",
+        "macro": lambda notice: "\n".join(f"dnl {line}" for line in textwrap.wrap(notice, 72)),
+        "embedded": lambda notice: prose * 3 + notice + " " + prose * 4,
+        "running": lambda notice: textwrap.fill(f"{prose}{notice} {prose}", 70),
+    }
+    made = [
+        (f"{family} {at} {form}", write(notice), family)
+        for family, notices in licenses.TEMPLATES.items()
+        for at, notice in enumerate(notices)
+        for form, write in forms.items()
+    ]
+    made.append(("none", textwrap.fill(prose * 30, 70), None))
+    rows = licenses.scan(spark.createDataFrame([one[:2] for one in made], "doc_id string, text string")).collect()
+    found = defaultdict(set)
+    for row in rows:
+        found[row["doc_id"]].add(row["family"])
+    assert {name: found[name] for name, _, family in made} == {name: {family} - {None} for name, _, family in made}
+    grant = [row for row in rows if row["doc_id"] == "MIT 3 marked"]
+    assert [(row["paragraph"], row["similarity"]) for row in grant] == [(2, 1.0)]
+    assert grant[0]["statement"].startswith("Permission is hereby granted") and grant[0]["statement"].endswith("of the Software.")
+
+
 def test_license_features_are_those_of_spark(spark):
     words = spark.sql("SELECT pmod(xxhash64('été'), 8192) AS a, pmod(xxhash64('the', 'été'), 8192) AS b").first()
     found = licenses.features("The Été")
