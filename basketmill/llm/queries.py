@@ -1,4 +1,4 @@
-"""The queries of this subpackage by name; none has an SQL twin."""
+"""The queries of this subpackage by name, and the SQL twin of the one that SQL can express."""
 
 from __future__ import annotations
 
@@ -15,9 +15,12 @@ from basketmill.llm import (
     piece_transducer,
     quality,
     rp_forest,
+    secret_scan,
     simhash,
     token_count,
     toxicity,
+    vector_codes,
+    whitening,
 )
 from basketmill.llm.common import read_table
 
@@ -68,6 +71,18 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.nearest(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.span_digests(secret_scan.find_secrets(read_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -81,6 +96,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_simhash,
         op10_neighbours,
+        op11_vector_codes,
+        op12_secrets,
+        op13_whitening,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+
+
+def vector_codes_sql(rounds: int = 6) -> str:
+    """Codes by comparing each part with every entry, a round after the other; long for many rounds, so it is made by a rule."""
+    steps = [
+        """kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS whole FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        """cut AS MATERIALIZED (
+  SELECT vec_id, part, whole[part * (len(whole) // 8) + 1 : (part + 1) * (len(whole) // 8)] AS v
+  FROM kept, range(8) AS parts(part))""",
+        """book0 AS MATERIALIZED (
+  SELECT part, entry, v FROM cut
+  JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < 16) USING (vec_id))""",
+    ]
+    for number in range(rounds + 1):
+        steps.append(f"""near{number} AS MATERIALIZED (
+  SELECT vec_id, part, min(struct_pack(
+      d := CAST(list_sum(list_transform(list_zip(c.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS BIGINT), e := entry)) AS best
+  FROM cut AS c JOIN book{number} AS b USING (part) GROUP BY vec_id, part)""")
+        if number < rounds:
+            steps.append(f"""mean{number} AS MATERIALIZED (
+  SELECT part, entry, list(m ORDER BY position) AS v
+  FROM (SELECT part, best.e AS entry, position, CAST(sum(x) - ((sum(x) % count(*)) + count(*)) % count(*) AS BIGINT) // count(*) AS m
+        FROM (SELECT part, best, generate_subscripts(v, 1) AS position, unnest(v) AS x FROM cut JOIN near{number} USING (vec_id, part))
+        GROUP BY part, best.e, position)
+  GROUP BY part, entry)""")
+            steps.append(f"""book{number + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m.v, b.v) AS v FROM book{number} AS b LEFT JOIN mean{number} AS m USING (part, entry))""")
+    return "WITH " + ",\n".join(steps) + f""",
+coded AS MATERIALIZED (
+  SELECT vec_id, string_agg(printf('%02x', CAST(best.e AS INT)), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""
+
+
+ORACLE_SQL: dict[str, str] = {"op11_vector_codes": vector_codes_sql()}
