@@ -105,6 +105,42 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "CC-BY-ND": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
+    "CC-BY-NC-SA": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    "CC-BY-NC-ND": (
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
+    "AGPL": (
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "Released under the AGPL v3.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public"
+        " License as published by the Free Software Foundation.",
+    ),
+    "EPL": (
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+    ),
+    "ISC": (
+        "Released under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,"
+        " provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "Zlib": (
+        "Released under the zlib License.",
+        "SPDX-License-Identifier: Zlib",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it"
+        " and redistribute it freely.",
+    ),
     "public domain": (
         "This is free and unencumbered software released into the public domain.",
         "To the extent possible under law, the author has waived all copyright and related rights to this work (CC0 1.0).",
@@ -126,6 +162,11 @@ NEAR_MISSES = (
     "The work is in the library and is open to the public.",
     "See the license for details.",
 )
+#: Words that deny what follows them, if that is one of the second kind and no template has the two together.
+DENIALS = ("not", "never", "no", "nor", "neither")
+DENIED = ("licensed", "released", "under", "available", "covered", "distributed", "granted", "permitted", "in", "free", "a", "license")
+#: Words before a statement in which it may be denied.
+DENIED_BEFORE = 3
 UNKNOWN = "unknown"
 FAMILIES = (*TEMPLATES, UNKNOWN)
 WORD_BORDER = r"[^\p{L}\p{N}]+"
@@ -140,6 +181,18 @@ def ngrams(paragraph: str) -> list[str]:
     return words + [f"{one} {other}" for one, other in zip(words, words[1:], strict=False)]
 
 
+def own_ngrams() -> dict[str, list[str]]:
+    """For each family the n-grams of its templates that no template of another family has."""
+    held = {family: {ngram for one in templates for ngram in ngrams(one)} for family, templates in TEMPLATES.items()}
+    others = {family: set().union(*(held[other] for other in held if other != family)) for family in held}
+    return {family: sorted(held[family] - others[family]) for family in held}
+
+
+def denied_pairs() -> list[str]:
+    known = {ngram for templates in TEMPLATES.values() for one in templates for ngram in ngrams(one)}
+    return [pair for deny in DENIALS for word in DENIED if (pair := f"{deny} {word}") not in known]
+
+
 def features(paragraph: str) -> list[int]:
     """Numbers of the words, and of each word with the one before it; the first word, which has none, counts twice.
 
@@ -404,6 +457,12 @@ def _tokens(lines: Column) -> Column:
     return F.flatten(F.transform(lines, of_line))
 
 
+def _before(tokens: Column, first: Column) -> Column:
+    """The last tokens before one."""
+    count = F.least(F.lit(DENIED_BEFORE), first)
+    return F.slice(tokens, first - count + 1, count)
+
+
 def _ngrams(words: Column) -> Column:
     pair = F.size(words) - 1
     pairs = F.zip_with(F.slice(words, F.lit(1), pair), F.slice(words, F.lit(2), pair), lambda one, other: F.concat_ws(" ", one, other))
@@ -425,8 +484,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unconfirme
 
     Units are lines, and overlapping windows of words over each run of lines that have words, so that wrapped statements and
     those within long lines are found. A unit counts whose most likely class is a family with probability `ACCEPT` or more and
-    that a template confirms, or without the latter if `unconfirmed`. similarity is the largest share of a template's n-grams
-    that the unit holds, over the family's templates; `CONFIRM` or more confirms it. Of units that share words which match their templates
+    that a template confirms, or without the latter if `unconfirmed`: the unit holds most of one of the family's templates and an n-gram that
+    no other family's templates have, and it isn't denied. similarity is the largest share of a template's n-grams
+    that the unit holds, over the family's templates; `CONFIRM` or more is most. Of units that share words which match their templates
     the most similar one is given, a line before a window; a window's statement begins and ends with words that match.
     Repeated documents are scanned each; other input columns are ignored. Null and empty texts
     have no licence; a null id stays null. An empty table gives an empty one.
@@ -439,9 +499,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unconfirme
     model = train(unknown_sample(sampled.select("doc_id", lines)))
 
     rows = docs.select("doc_id", F.explode(_with(F.split("text", "\n"), _paragraphs)).alias("run")).select("doc_id", "run.*")
-    rows = rows.withColumn("units", _passing(F.col("lines"), model.licence, model.licence_bias)).filter(F.size("units") > 0)
-    # Few paragraphs come as far as this. They are written, so that what follows isn't drawn into the filter above.
-    rows = stage(rows, "licence-candidates").withColumn("run", F.monotonically_increasing_id())
+    rows = rows.withColumn("units", _passing(F.col("lines"), model.licence, model.licence_bias))
+    # Filters aren't moved below a number that is given out, so that units are found once and templates are compared with few.
+    rows = rows.withColumn("run", F.monotonically_increasing_id()).filter((F.size("units") > 0) & (F.col("run") >= 0))
     tokens = _with(
         _tokens(F.col("lines")),
         lambda tokens: F.transform(
@@ -453,15 +513,25 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unconfirme
                 F.when(unit["line"].isNull(), F.slice(tokens, unit["first"] + 1, unit["size"]))
                 .otherwise(F.filter(tokens, lambda token: token["line"] == unit["line"]))
                 .alias("tokens"),
+                F.when(unit["line"].isNull(), F.transform(_before(tokens, unit["first"]), lambda token: token["word"])).alias("lead"),
                 F.when(unit["line"].isNotNull(), F.size(F.filter(tokens, lambda token: token["line"] < unit["line"]))).alias("before"),
             ),
         ),
     )
     rows = rows.select("doc_id", "position", "run", F.explode(tokens).alias("unit")).select("doc_id", "position", "run", "unit.*")
     rows = rows.withColumn("first", F.coalesce("before", "first")).drop("before")
+    templates = [[sorted(set(ngrams(one))) for one in TEMPLATES[family]] for family in TEMPLATES]
+    if not unconfirmed:
+        # Only units that some template confirms go on; those are few.
+        every = F.lit(json.dumps(sorted({ngram for family in templates for one in family for ngram in one})))
+        known = F.array_intersect(_ngrams(F.col("tokens.word")), F.from_json(every, "array<string>"))
+        rows = rows.withColumn("known", known)
+        flat = _constant([one for family in templates for one in family], "array<array<string>>")
+        enough = F.exists(flat, lambda one: F.size(F.array_intersect(one, F.col("known"))) >= CONFIRM * F.size(one))
+        least = min(len(one) for family in templates for one in family)
+        rows = rows.withColumn("unit", F.monotonically_increasing_id())
+        rows = rows.filter((F.col("unit") >= 0) & (F.size("known") >= CONFIRM * least) & enough).drop("unit", "known")
     rows = stage(rows, "licence-units")
-    # Few bytes but much to do for each, so not dealt out by size.
-    rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run", "line", "first", F.size("tokens"))
 
     def guess(words: Column) -> Column:
         classes = zip(model.families, model.family_bias, strict=True)
@@ -473,15 +543,14 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unconfirme
         return F.struct((1 / total).alias("probability"), F.array_position(logits, top).cast("int").alias("class"))
 
     guessed = _with(_with(F.col("tokens.word"), guess), most_likely)
-    rows = stage(rows.select("*", guessed.alias("guess")).select("*", "guess.*").drop("guess"), "licence-guesses")
-    rows = rows.filter((F.col("class") < len(FAMILIES)) & (F.col("probability") >= ACCEPT))
+    rows = rows.select("*", guessed.alias("guess")).select("*", "guess.*", F.monotonically_increasing_id().alias("number")).drop("guess")
+    rows = rows.filter((F.col("number") >= 0) & (F.col("class") < len(FAMILIES)) & (F.col("probability") >= ACCEPT))
     rows = rows.withColumn("ngrams", _ngrams(F.col("tokens.word")))
-    templates = [[sorted(set(ngrams(one))) for one in TEMPLATES[family]] for family in TEMPLATES]
     known = F.get(_constant(templates, "array<array<array<string>>>"), F.col("class") - 1)
     shares = F.transform(known, lambda one: F.struct((F.size(F.array_intersect(one, F.col("ngrams"))) / F.size(one)).alias("share"), one.alias("template")))
     rows = rows.withColumn("best", F.array_max(shares)).withColumn("similarity", F.col("best.share"))
-    rows = rows.withColumn("confirmed", F.col("similarity") >= CONFIRM)
-    rows = rows if unconfirmed else rows.filter("confirmed")
+    own = F.get(_constant(list(own_ngrams().values()), "array<array<string>>"), F.col("class") - 1)
+    rows = rows.withColumn("confirmed", (F.col("similarity") >= CONFIRM) & F.arrays_overlap(own, "ngrams"))
     # From the first to the last pair of the template, or the whole unit without any.
     size = F.size("tokens")
     pairs = F.slice("ngrams", size + 1, size)
@@ -492,6 +561,14 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unconfirme
     rows = rows.withColumn("matched", matched)
     rows = rows.withColumn("from", F.coalesce(F.array_min("matched"), F.lit(0)))
     rows = rows.withColumn("count", F.coalesce(F.array_max("matched") + 2, size) - F.col("from"))
+    # With the words before it, in which the statement may be denied.
+    words = F.concat(F.coalesce("lead", F.array().cast("array<string>")), F.col("tokens.word"))
+    start = F.coalesce(F.size("lead"), F.lit(0)) + F.col("from")
+    first = F.greatest(F.lit(0), start - DENIED_BEFORE)
+    nearby = F.slice(words, first + 1, start + F.col("count") - first)
+    denied = F.arrays_overlap(_ngrams(nearby), _constant(denied_pairs(), "array<string>"))
+    rows = rows.withColumn("confirmed", F.col("confirmed") & ~denied)
+    rows = rows if unconfirmed else rows.filter("confirmed")
     inner = F.slice("tokens", F.col("from") + 1, "count")
     is_line = F.col("line").isNotNull()
     rows = rows.select(

@@ -197,6 +197,28 @@ def test_licenses_wrapped_and_embedded(spark):
     assert grant[0]["statement"].startswith("Permission is hereby granted") and grant[0]["statement"].endswith("of the Software.")
 
 
+def test_license_neighbours_and_denials(spark):
+    """Related licences are their own family or none; what is denied is no grant."""
+    cases = {
+        "This project is not licensed under the MIT license.": None,
+        "GNU Affero General Public License, version 3": {"AGPL", None},
+        "CC BY-NC-SA 4.0": {"CC-BY-NC-SA", None},
+        "CC BY-ND 4.0": {"CC-BY-ND", None},
+        "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA",
+        "Licensed under CC BY-ND 4.0.": "CC-BY-ND",
+        "SPDX-License-Identifier: EPL-2.0": "EPL",
+        "Eclipse Public License, version 2.0": {"EPL", None},
+        "Licensed under the Eclipse Public License, version 2.0.": "EPL",
+        "SPDX-License-Identifier: WTFPL": None,
+        "The lamp is not in stock. This project is licensed under the terms of the MIT license.": "MIT",
+        "Released under the GPL v3.": "GPL",
+    }
+    rows = licenses.scan(spark.createDataFrame([(text, text) for text in cases], "doc_id string, text string")).collect()
+    found = {row["doc_id"]: row["family"] for row in rows}
+    for text, expected in cases.items():
+        assert found.get(text) in (expected if isinstance(expected, set) else {expected}), (text, found.get(text))
+
+
 def test_license_features_are_those_of_spark(spark):
     words = spark.sql("SELECT pmod(xxhash64('été'), 8192) AS a, pmod(xxhash64('the', 'été'), 8192) AS b").first()
     found = licenses.features("The Été")
