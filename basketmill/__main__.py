@@ -11,13 +11,15 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
+from basketmill.operators.staging import staging_job
+from basketmill.plans.quality import quality_reports
 from basketmill.plans.registry import JOBS, RESULT_TABLES, STORED_RESULTS
 from basketmill.session import get_spark, size_session
 from basketmill.sources.files import odd_lines
 from basketmill.warehouse import Warehouse
 
-QUALITY_JOBS = ["kept_ratio", "ods_filter_reasons", "dwd_missing_profile", "dwd_value_ranges"]
-
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     shared = argparse.ArgumentParser(add_help=False)
@@ -32,6 +34,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     load.add_argument("--strict", action="store_true", help="also fail on lines with too few fields")
     load.add_argument("--on-extra-fields", choices=["raise", "reject"], default="raise")
     load.add_argument("--on-fine-price", choices=["raise", "round"], default="raise")
+    load.add_argument("--on-bad-number", choices=["raise", "reject"], default="raise")
     load.add_argument("--on-bad-date", choices=["raise", "null"], default="raise")
     load.add_argument("--dedup", action="store_true")
     load.add_argument("--by-month", action="store_true")
@@ -50,11 +53,19 @@ def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = get_spark(master=args.master)
     size_session(spark, args.path if args.command == "load" else args.location)
-    warehouse = Warehouse(spark, args.database, args.location)
+    try:
+        with staging_job(spark):
+            _run(args, spark, Warehouse(spark, args.database, args.location))
+    except LookupError as error:  # a table that was never built
+        raise SystemExit(f"{error}") from error
+
+
+def _run(args: argparse.Namespace, spark: SparkSession, warehouse: Warehouse) -> None:
     if args.command == "load":
         for problem in odd_lines(spark, args.path, args.encoding).groupBy("problem").count().collect():
             print("lines with", problem["problem"], problem["count"])
-        options = {"on_extra_fields": args.on_extra_fields, "on_fine_price": args.on_fine_price}
+        names = ("on_extra_fields", "on_fine_price", "on_bad_number")
+        options = {name: getattr(args, name) for name in names}
         print("raw lines", warehouse.build_ods(args.path, encoding=args.encoding, strict=args.strict, **options))
         print("cleaned lines", warehouse.build_dwd(args.on_bad_date, args.dedup, args.by_month))
     elif args.command == "results":
@@ -64,9 +75,10 @@ def main(argv: list[str] | None = None) -> None:
         warehouse.result(args.result).show(args.rows, truncate=False)
     else:
         source = warehouse.source()
-        for job in QUALITY_JOBS if args.command == "quality" else [args.job]:
-            print(job)
-            JOBS[job](source).show(getattr(args, "rows", 100), truncate=False)
+        reports = quality_reports(source) if args.command == "quality" else {args.job: JOBS[args.job](source)}
+        for name, report in reports.items():
+            print(name)
+            report.show(getattr(args, "rows", 100), truncate=False)
 
 
 if __name__ == "__main__":

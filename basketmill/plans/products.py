@@ -11,11 +11,8 @@ from basketmill.sources.lines import LineSource
 
 
 def _ranked_products(source: LineSource, top: int) -> DataFrame:
-    revenue = (
-        source.detail("sale_month", "description", "line_amount")
-        .groupBy("sale_month", F.col("description").alias("product_name"))
-        .agg(F.sum("line_amount").alias("revenue"))
-    )
+    revenue = source.product_lines("sale_month", "line_amount").groupBy("sale_month", "product_key").agg(F.sum("line_amount").alias("revenue"))
+    revenue = source.with_product(revenue, "product_name")
     # The rank filter lets Spark cut each partition down to the top rows before the shuffle by month.
     best_first = Window.partitionBy("sale_month").orderBy(F.desc("revenue"), F.asc_nulls_first("product_name"))
     return (
@@ -54,19 +51,17 @@ def latest_month_top3(source: LineSource) -> DataFrame:
 
 def gmv_by_product(source: LineSource) -> DataFrame:
     """Revenue per product over all time."""
-    return (
-        source.detail("description", "line_amount")
-        .groupBy(F.col("description").alias("product_name"))
-        .agg(money(F.sum("line_amount")).alias("gmv"))
-    )
+    spend = source.product_lines("line_amount").groupBy("product_key").agg(money(F.sum("line_amount")).alias("gmv"))
+    return source.with_product(spend, "product_name").select("product_name", "gmv")
 
 
 def hot_products(source: LineSource, top: int = 20) -> DataFrame:
     """Products on the most invoices."""
+    # Every invoice is there once; one without a number isn't counted.
+    counts = source.product_invoices().groupBy("product_key").agg(F.count("invoice_no").alias("OrderCount"))
     return (
-        source.detail("description", "invoice_no")
-        .groupBy(F.col("description").alias("Description"))
-        .agg(F.countDistinct("invoice_no").alias("OrderCount"))
+        source.with_product(counts, "Description")
+        .select("Description", "OrderCount")
         .orderBy(F.desc("OrderCount"), F.asc_nulls_first("Description"))
         .limit(top)
     )
@@ -74,19 +69,17 @@ def hot_products(source: LineSource, top: int = 20) -> DataFrame:
 
 def product_repurchase(source: LineSource, min_buyers: int = 50, top: int = 10) -> DataFrame:
     """Products by the share of their buyers who bought them on two or more invoices."""
-    purchases = (
-        source.detail("customer_id", "description", "invoice_no")
-        .groupBy("customer_id", F.col("description").alias("product"))
-        .agg(F.countDistinct("invoice_no").alias("purchases"))
-    )
+    # Two or more invoices are a first one and another last one, which needs no distinct count.
+    lines = source.product_lines("customer_id", "invoice_no").groupBy("customer_id", "product_key")
+    purchases = lines.agg(F.min("invoice_no").alias("first"), F.max("invoice_no").alias("last"))
     # One row per buyer and product, so rows are buyers.
-    buyers = purchases.groupBy("product").agg(
-        F.count("*").alias("total_buyers"), F.count_if(F.col("purchases") >= 2).alias("repurchase_buyers")
+    buyers = purchases.groupBy("product_key").agg(
+        F.count("*").alias("total_buyers"), F.count_if(F.col("first") < F.col("last")).alias("repurchase_buyers")
     )
     rate = percent(F.col("repurchase_buyers"), F.col("total_buyers"), 1)
     return (
-        buyers.filter(F.col("total_buyers") >= min_buyers)
-        .withColumn("repurchase_rate_pct", rate)
+        source.with_product(buyers.filter(F.col("total_buyers") >= min_buyers), "product")
+        .select("product", "total_buyers", "repurchase_buyers", rate.alias("repurchase_rate_pct"))
         .orderBy(F.desc("repurchase_rate_pct"), F.asc_nulls_first("product"))
         .limit(top)
     )

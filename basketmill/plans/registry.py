@@ -34,6 +34,7 @@ JOBS: dict[str, Job] = {
     "dwd_missing_profile": quality.missing_profile,
     "dwd_value_ranges": quality.value_ranges,
     "kept_ratio": quality.kept_ratio,
+    "quality_figures": quality.quality_figures,
     "layer_row_counts": quality.layer_row_counts,
     "top_countries": revenue.top_countries,
     "monthly_revenue": revenue.monthly_revenue,

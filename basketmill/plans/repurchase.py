@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketmill.functions.numeric import percent
-from basketmill.operators.customers import invoice_counts
+from basketmill.operators.customers import customer_totals
 from basketmill.sources.lines import LineSource
 
 
 def repurchase_rate(source: LineSource) -> DataFrame:
     """Share of customers with two or more invoices."""
-    counts = invoice_counts(source.spend_by("customer_id", "invoice_no"))
+    counts = customer_totals(source)
     return counts.agg(
-        F.count("*").alias("total_customers"), F.count_if(F.col("order_count") >= 2).alias("repurchase_customers")
+        F.count("*").alias("total_customers"), F.count_if(F.col("frequency") >= 2).alias("repurchase_customers")
     ).withColumn("repurchase_rate_pct", percent(F.col("repurchase_customers"), F.col("total_customers"), 1))

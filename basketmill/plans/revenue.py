@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from basketmill.functions.calendar import hour_text, month_text
 from basketmill.functions.labels import customer_type, price_band
 from basketmill.functions.numeric import money, ratio, round_half_up
-from basketmill.operators.customers import with_first_month
+from basketmill.operators.customers import customer_totals, with_first_month
 from basketmill.sources.lines import LineSource
 
 
@@ -91,13 +91,13 @@ def top_countries(source: LineSource, top: int = 10) -> DataFrame:
 def top_customers(source: LineSource, top: int = 10) -> DataFrame:
     """Customers by spend, with their number of invoices."""
     return (
-        source.spend_by("customer_id", "invoice_no")
-        .groupBy("customer_id")
-        .agg(F.count("invoice_no").alias("OrderCount"), F.sum("spend").alias("spend"))
+        customer_totals(source)
         .orderBy(F.desc("spend"), "customer_id")
         .limit(top)
         .select(
-            F.col("customer_id").alias("CustomerID"), "OrderCount", F.col("spend").cast("double").alias("TotalSpent")
+            F.col("customer_id").alias("CustomerID"),
+            F.col("frequency").alias("OrderCount"),
+            F.col("spend").cast("double").alias("TotalSpent"),
         )
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from basketmill.functions.labels import SEGMENT_ENGLISH, segment, translate
 from basketmill.functions.numeric import money, percent, ratio, round_half_up
+from basketmill.operators.customers import customer_totals
 from basketmill.operators.ranking import with_tiles
 from basketmill.operators.staging import stage
 from basketmill.sources.lines import LineSource
@@ -18,26 +19,16 @@ WEIGHTS = {"r_score": "0.30", "f_score": "0.35", "m_score": "0.35"}
 NO_DAY = 2**31 - 1
 
 
-def customer_measures(source: LineSource) -> DataFrame:
-    """Last purchase date, number of invoices and rounded spend per customer."""
-    return (
-        source.spend_by("customer_id", "invoice_no")
-        .groupBy("customer_id")
-        .agg(
-            F.max("last_date").alias("last_date"),
-            F.count("invoice_no").alias("frequency"),
-            F.round(F.sum("spend"), 2).alias("monetary"),
-        )
-    )
-
-
 def scored_customers(source: LineSource) -> DataFrame:
     """Measures, 1-5 scores and segment of every customer.
 
     Recency counts days up to the day after the last sale; fewer days score higher, so the score
-    follows the last date upwards. Equal values score by customer id.
+    follows the last date upwards. Equal values score by customer id. Stored scores are taken as they are.
     """
-    measures = stage(customer_measures(source), "customers")
+    stored = source.scored()
+    if stored is not None:
+        return stored
+    measures = stage(customer_totals(source).withColumn("monetary", F.round("spend", 2)), "customers")
     scored = with_tiles(
         measures,
         "customer_id",
@@ -54,6 +45,8 @@ def scored_customers(source: LineSource) -> DataFrame:
         F.datediff(today, F.col("last_date")).alias("recency_days"),
         "frequency",
         "monetary",
+        "spend",
+        "last_date",
         *WEIGHTS,
         segment(*[F.col(score) for score in WEIGHTS]).alias("user_segment"),
     )

@@ -6,7 +6,10 @@ from pyspark.sql import types as T
 
 RAW_TABLE = "ods_sales"
 DETAIL_TABLE = "dwd_sales"
+REJECT_TABLE = "ods_rejects"
 INVOICE_TABLE = "dws_invoices"
+CUSTOMER_MONTH_TABLE = "dws_customer_months"
+CUSTOMER_TABLE = "dws_customers"
 RESULT_PREFIX = "ads_"
 
 # Header of the source file, in file order -> column name inside the engine.

@@ -66,6 +66,22 @@ class LineSource:
         """One row per distinct `keys` with `spend`, `line_count` and `last_date`; no keys: one row."""
         return summed_lines(self.detail(*keys, "line_amount", "invoice_date"), *keys)
 
+    def product_lines(self, *columns: str) -> DataFrame:
+        """product_key and other columns of the cleaned lines; the key is equal where the product texts are."""
+        return self.detail("description", *columns).withColumnRenamed("description", "product_key")
+
+    def product_invoices(self) -> DataFrame:
+        """Every product_key on every invoice_no once."""
+        return self.product_lines("invoice_no").distinct()
+
+    def with_product(self, rows: DataFrame, name: str) -> DataFrame:
+        """The product text in place of product_key, which stands for it before."""
+        return rows.withColumnRenamed("product_key", name)
+
+    def scored(self) -> DataFrame | None:
+        """Stored measures and scores of the customers, if there are any."""
+        return None
+
 
 class FrameSource(LineSource):
     """Raw lines held in one frame; cleaned lines are derived from it unless given."""

@@ -6,7 +6,7 @@ quantity, lines without a price, invoices without a customer and untrimmed produ
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketmill.functions.text import normalise_product
@@ -46,6 +46,11 @@ LINE_KEYS = {
     "stock_code": "CAST(part_key AS STRING) AS stock_code",
 }
 
+# What kept lines and headers have in common, as filters that the files' statistics can be held against.
+KEPT_ITEMS = "l_quantity > 0 AND (l_returnflag IS NULL OR l_returnflag <> 'R')"
+KEPT_PARTS = "p_retailprice > 0"
+KEPT_ORDERS = "o_custkey IS NOT NULL"
+
 PRODUCT_COLUMNS = {"description", "unit_price"}
 HEADER_COLUMNS = {"customer_id", "country", "invoice_ts", "invoice_date"}
 
@@ -76,8 +81,8 @@ class StarSource(LineSource):
         nations = self.table("nation").selectExpr("n_nationkey AS c_nationkey", "n_name AS country")
         return df.join(customers, "cust_key", "left").join(nations, "c_nationkey", "left")
 
-    def _headers(self, columns: set[str]) -> DataFrame:
-        headers = self.table("orders").selectExpr(HEADERS)
+    def _headers(self, columns: set[str], kept: str = "true") -> DataFrame:
+        headers = self.table("orders").filter(kept).selectExpr(HEADERS)
         return self._with_country(headers) if "country" in columns else headers
 
     def raw(self, *columns: str) -> DataFrame:
@@ -95,16 +100,23 @@ class StarSource(LineSource):
 
     def _kept_items(self, columns: set[str]) -> DataFrame:
         """Items with a positive quantity and price. Product texts are normalised once per product."""
-        parts = self.table("part").selectExpr(PARTS)
-        if "description" in columns:
+        parts = self.table("part").filter(KEPT_PARTS).selectExpr(PARTS)
+        if columns & {"description", "product_key"}:
             parts = parts.withColumn("description", normalise_product(F.col("description")))
-        return self.table("lineitem").selectExpr(ITEMS).join(parts, "part_key").filter(HAS_POSITIVE_MEASURES)
+        if "product_key" in columns:
+            # Products whose texts are the same are one; its key goes through the joins instead of the text.
+            parts = parts.withColumn("product_key", F.min("part_key").over(Window.partitionBy("description")))
+            parts = parts.select("part_key", "product_key", "unit_price")
+        return self.table("lineitem").filter(KEPT_ITEMS).selectExpr(ITEMS).join(parts, "part_key").filter(HAS_POSITIVE_MEASURES)
 
     def _kept_headers(self, columns: set[str]) -> DataFrame:
         dates = [f"{value} AS {name}" for name, value in DATE_COLUMNS.items()]
-        return self._headers(columns).filter(HAS_CUSTOMER).selectExpr("*", *dates)
+        return self._headers(columns, KEPT_ORDERS).filter(HAS_CUSTOMER).selectExpr("*", *dates)
 
     def detail(self, *columns: str) -> DataFrame:
+        return self._kept_lines(*columns)
+
+    def _kept_lines(self, *columns: str) -> DataFrame:
         wanted = dict.fromkeys(columns)
         lines = self._kept_items(set(wanted)).join(self._kept_headers(set(wanted)), "order_key")
         derived = LINE_KEYS | {"line_amount": f"{LINE_AMOUNT} AS line_amount"}
@@ -126,6 +138,20 @@ class StarSource(LineSource):
             parts = self._with_country(combined(parts, measures, others))
         return combined(parts, measures, keys)
 
+    def product_lines(self, *columns: str) -> DataFrame:
+        """No product text goes through the join with the headers."""
+        return self._kept_lines("product_key", *columns)
+
+    def product_invoices(self) -> DataFrame:
+        """Lines of one order and product are one before the join with the header."""
+        items = self._kept_items({"product_key"}).select("order_key", "product_key").distinct()
+        return items.join(self._kept_headers(set()), "order_key").select("product_key", F.col("order_key").alias("invoice_no"))
+
+    def with_product(self, rows: DataFrame, name: str) -> DataFrame:
+        parts = self.table("part").selectExpr(PARTS)
+        texts = parts.select(F.col("part_key").alias("product_key"), normalise_product(F.col("description")).alias(name))
+        return rows.join(texts, "product_key").drop("product_key")
+
     def spend_by(self, *keys: str) -> DataFrame:
         """Sums over invoice attributes add up each order's lines before the join with its header.
 

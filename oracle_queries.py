@@ -163,6 +163,33 @@ def _missing_profile() -> str:
     return "SELECT " + ", ".join(counts + shares) + " FROM sales"
 
 
+def _quality_figures() -> str:
+    """Every figure of four reports, each counted for itself."""
+    kept = {"ods_rows": "SELECT count(*) FROM lineitem", "dwd_rows": "SELECT count(*) FROM sales"}
+    kept["kept_pct"] = f"SELECT {_percent(f'({kept["dwd_rows"]})', f'({kept["ods_rows"]})', 2)}"
+    ranges = {
+        "min_invoice_date": "min(day) - DATE '1970-01-01'", "max_invoice_date": "max(day) - DATE '1970-01-01'",
+        "min_quantity": "min(quantity)", "max_quantity": "max(quantity)",
+        "min_unit_price": "min(unit_price)", "max_unit_price": "max(unit_price)", "gmv": "round(sum(amount), 2)",
+    }
+    columns = {
+        "invoice_no": "invoice_no", "stock_code": "stock_code", "description": "product",
+        "invoice_date": "day", "customer_id": "customer_id", "country": "country",
+    }
+    figures = [("kept_ratio", name, value) for name, value in kept.items()]
+    figures += [("dwd_value_ranges", name, f"SELECT {value} FROM sales") for name, value in ranges.items()]
+    for name, column in columns.items():
+        missing = f"count(*) - count({column})"
+        share = f"coalesce({_percent(missing, 'count(*)', 2)}, 0)"
+        figures += [("dwd_missing_profile", f"miss_{name}", f"SELECT {missing} FROM sales")]
+        figures += [("dwd_missing_profile", f"miss_{name}_pct", f"SELECT {share} FROM sales")]
+    rows = [f"SELECT '{report}' AS report, '{name}' AS figure, CAST(({value}) AS DOUBLE) AS value" for report, name, value in figures]
+    reasons = """SELECT 'ods_filter_reasons', CASE WHEN customer_id IS NULL THEN 'drop:CustomerID_is_null'
+    WHEN quantity <= 0 THEN 'drop:Quantity_non_positive' WHEN unit_price <= 0 THEN 'drop:UnitPrice_non_positive'
+    ELSE 'keep:DWD' END, CAST(count(*) AS DOUBLE) FROM raw GROUP BY ALL"""
+    return "\nUNION ALL ".join([*rows, reasons])
+
+
 def _pivot6() -> str:
     columns = ", ".join(f'max(retention_rate) FILTER (month_offset = {n}) AS "M{n}_%"' for n in range(6))
     return f"SELECT cohort_month, max(cohort_size) AS cohort_size, {columns} FROM retention GROUP BY cohort_month"
@@ -192,6 +219,10 @@ STORED = {
     "stored_latest_month_top3": "latest_month_top3",
     "stored_segment_labels": "rfm_segment_labels",
     "stored_retention_matrix": "cohort_retention_matrix",
+    "stored_rfm_segments": "rfm_segments",
+    "stored_rfm_customers": "rfm_customers",
+    "stored_cohort_retention": "cohort_retention",
+    "stored_running_spend": "customer_running_spend",
 }
 
 
@@ -280,6 +311,11 @@ FROM (SELECT CASE WHEN customer_id IS NULL THEN 'drop:CustomerID_is_null'
 GROUP BY reason"""
         ),
         "dwd_missing_profile": _on_sales(_missing_profile()),
+        "quality_figures": _on_sales(_quality_figures()),
+        "sql_on_layers": _on_sales(
+            """SELECT country AS "Country", (SELECT count(*) FROM raw WHERE raw.country = sales.country) AS raw_lines,
+       count(*) AS kept_lines, CAST(round(sum(amount), 2) AS DOUBLE) AS revenue FROM sales GROUP BY country"""
+        ),
         "dwd_value_ranges": _on_sales(
             """SELECT CAST(min(day) AS VARCHAR) AS min_invoice_date, CAST(max(day) AS VARCHAR) AS max_invoice_date,
        min(quantity) AS min_quantity, max(quantity) AS max_quantity,

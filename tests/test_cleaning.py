@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+from csv import reader as csv_reader
+from csv import writer as csv_writer
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -10,9 +13,9 @@ from lines import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from basketmill.functions.calendar import parse_invoice_ts
+from basketmill.functions.calendar import DateFormat, date_format_of, parse_invoice_ts
 from basketmill.functions.text import MISSING_TEXTS, normalise_product, null_if_missing
-from basketmill.operators.cleaning import bad_date_lines, clean_lines
+from basketmill.operators.cleaning import bad_date_lines, clean_lines, date_format
 from basketmill.schema import DETAIL_SCHEMA, RAW_SCHEMA
 from basketmill.sources.files import odd_lines, read_invoice_csv
 
@@ -170,3 +173,144 @@ def test_times_do_not_depend_on_the_session_zone(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert tuple(row) == (date(2011, 3, 13), 2)
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("1/2/2011 8:26:30 PM", datetime(2011, 1, 2, 20, 26, 30)),
+        ("1/2/2011 12:05 am", datetime(2011, 1, 2, 0, 5)),
+        ("13/2/2011 12:05 p.m.", datetime(2011, 2, 13, 12, 5)),
+        ("1/2/2011 13:05 PM", None),
+        ("1/2/2011 0:05 PM", None),
+        ("31.12.2010 23:59", datetime(2010, 12, 31, 23, 59)),
+        ("31/1/11", datetime(2011, 1, 31)),
+        ("1/31/69", datetime(1969, 1, 31)),
+        ("1/31/68 9:00 AM", datetime(2068, 1, 31, 9)),
+        ("1-31/2011", None),
+        ("2011/1/9 14:05:07.250", datetime(2011, 1, 9, 14, 5, 7, 250000)),
+        ("2011-01-09T14:05:07", datetime(2011, 1, 9, 14, 5, 7)),
+        ("9 Jan 2011 2:05 PM", datetime(2011, 1, 9, 14, 5)),
+        ("9-SEPT-2011", datetime(2011, 9, 9)),
+        ("Sunday, January 9, 2011 8:00", datetime(2011, 1, 9, 8)),
+        ("Smarch 9, 2011", None),
+        ("2/29/2011", None),
+    ],
+)
+def test_date_formats(spark, text, expected):
+    """Each text in the format that it has itself."""
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(parse_invoice_ts(F.col("t"), date_format_of([text]))).collect()[0][0] == expected
+
+
+def test_one_date_format_is_told_by_a_sample_and_checked_on_all_lines(spark, tmp_path):
+    line = "{0},1,cup,1,{1},1.00,1,USA"
+    cases = {
+        DateFormat(twelve_hours=True): ["1/2/2011 8:26:30 PM", "1/3/2011 9:00:00 AM"],
+        DateFormat("day first"): ["1/2/2011 9:00", "13/2/2011 9:00", "28/2/2011 9:00"],
+        DateFormat("named month"): ["1 Feb 2011", "Wed, 2 March 2011 9:00"],
+    }
+    for expected, dates in cases.items():
+        raw = read_invoice_csv(spark, csv(tmp_path, [line.format(at, f'"{date}"') for at, date in enumerate(dates)]))
+        told = date_format(raw)
+        assert told == expected
+        assert clean_lines(raw, format_=told).filter("invoice_ts IS NULL").count() == 0
+    mixed = ["1/2/2011 9:00", "13/2/2011 9:00", "28/2/2011 9:00", "2/13/2011"]
+    mixed = read_invoice_csv(spark, csv(tmp_path, [line.format(at, date) for at, date in enumerate(mixed)]))
+    with pytest.raises(PySparkException, match="not a date: 2/13/2011"):
+        clean_lines(mixed, format_=date_format(mixed)).collect()
+    assert rows(bad_date_lines(mixed, date_format(mixed)).select("invoice_no")) == [("3",)]
+
+
+LOST = '1,S,PLATE 12" A,6,1/2/2011 8:26,2.5,17850,UK 5",LOST'
+FINE = "1,S,cup,6,1/2/2011 8:26,0.00000000004,17850,UK"
+PARTLY = "1,S,cup,6.00000000004,1/2/2011 8:26,2.5,17850,UK"
+
+
+@pytest.mark.parametrize(
+    ("line", "problem"),
+    [
+        (LOST, "too many fields"),
+        (LINES[0] + ",", "too many fields"),
+        (LINES[0] + ",,,", "too many fields"),
+        ('1,S,"a ""b"", c",6,1/2/2011 8:26,2.5,17850,UK,"x,y"', "too many fields"),
+        (FINE, "more decimals than are kept in UnitPrice"),
+        ("1,S,cup,6,1/2/2011 8:26,4e-11,17850,UK", "more decimals than are kept in UnitPrice"),
+        ("1,S,cup,6,1/2/2011 8:26,4e-30,17850,UK", "more decimals than are kept in UnitPrice"),
+        (PARTLY, "not a whole number in Quantity"),
+        ("1,S,cup,six,1/2/2011 8:26,2.5,17850,UK", "not a number in Quantity"),
+        ("1,S,cup,3000000000,1/2/2011 8:26,2.5,17850,UK", "a number out of range in Quantity"),
+        ("1,S,cup,6,1/2/2011 8:26,2.5,17850." + "0" * 20 + "1,UK", "not a whole number in CustomerID"),
+        ("1,S,cup", "too few fields"),
+        ('1,"S,cup', None),  # joined with what follows
+    ],
+)
+def test_nothing_is_cut_or_rounded_silently(spark, tmp_path, line, problem):
+    if problem is None:
+        with pytest.raises(ValueError, match="quoted field has no end"):
+            read_invoice_csv(spark, csv(tmp_path, [LINES[0], line]))
+        return
+    path = csv(tmp_path, [LINES[0], line, LINES[2]])
+    assert rows(odd_lines(spark, path)) == [(problem, line)]
+    if problem == "too few fields":
+        assert read_invoice_csv(spark, path).count() == 3
+        return
+    for columns in (["country"], ["quantity"], []):
+        with pytest.raises(PySparkException, match="more fields than" if "fields" in problem else problem):
+            read_invoice_csv(spark, path).select(columns).collect()
+    kept = read_invoice_csv(spark, path, on_extra_fields="reject", on_bad_number="reject")
+    assert sorted(row["invoice_no"] for row in kept.collect()) == ["536365", "C536367"]
+
+
+def test_numbers_as_they_may_be_written(spark, tmp_path):
+    path = csv(tmp_path, ["1,S,cup, +6. ,1/2/2011 8:26,.5,1.785e4,UK", "2,S,cup,6e0,1/2/2011 8:26,25000E-4,17850.000,UK"])
+    found = read_invoice_csv(spark, path).orderBy("invoice_no").select("quantity", "unit_price", "customer_id")
+    assert rows(found) == [(6, Decimal("0.5000"), 17850), (6, Decimal("2.5000"), 17850)]
+
+
+def test_columns_beside_the_known_ones_are_kept(spark, tmp_path):
+    header = HEADER.strip() + ",Channel,quantity_,invoice_no\n"
+    (tmp_path / "more.csv").write_text(header + LINES[0] + ",web,NA,x\n")
+    raw = read_invoice_csv(spark, str(tmp_path / "more.csv"))
+    assert raw.columns == [*RAW_SCHEMA.names, "Channel", "quantity_", "invoice_no_in_file"]
+    row = clean_lines(raw).first()
+    assert (row["Channel"], row["quantity_"], row["invoice_no_in_file"], row["invoice_no"]) == ("web", None, "x", "536365")
+
+
+@pytest.fixture
+def small_parts(spark):
+    """Files are split into parts of a few lines."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_quoted_line_breaks_in_split_files(spark, tmp_path, small_parts):
+    """Texts with quotes, commas and line breaks, some longer than several parts of the file, against the standard reader."""
+    rng = random.Random(4)
+    pieces = ["cup", "\n", '"', ",", "\n\n", "12\" plate", " ", "x" * 30, "\n".join("abc,\"d" for _ in range(100))]
+    texts = ["".join(rng.choices(pieces, weights=[4, 3, 2, 2, 1, 1, 2, 1, 0.3], k=rng.randint(1, 6))) for _ in range(60)]
+    for name, share in (("a.csv", texts[:50]), ("b.csv", texts[50:]), ("c.csv", ["plain"] * 5)):
+        with (tmp_path / name).open("w", newline="") as file:
+            writer = csv_writer(file, lineterminator="\n")
+            writer.writerow(HEADER.strip().split(","))
+            writer.writerows([f"{name}{at}", "S", text, 1, "1/2/2011 8:26", "2.5", 1, "UK"] for at, text in enumerate(share))
+    raw = read_invoice_csv(spark, str(tmp_path))
+    assert raw.rdd.getNumPartitions() > 4
+    found = dict(rows(raw.select("invoice_no", "description")))
+    expected = {}
+    for name in ("a.csv", "b.csv", "c.csv"):
+        with (tmp_path / name).open(newline="") as file:
+            expected |= {row[0]: row[2] for row in list(csv_reader(file))[1:]}
+    assert found == expected
+    assert raw.count() == len(expected) and odd_lines(spark, str(tmp_path)).count() == 0
+
+
+def test_headers_of_all_files_are_checked(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEADER + LINES[0] + "\n" + HEADER + LINES[0] + "\n")
+    with pytest.raises(ValueError, match="header is repeated"):
+        read_invoice_csv(spark, str(tmp_path))
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "a.csv").write_text(HEADER + "\n  \n")
+    assert read_invoice_csv(spark, str(tmp_path)).count() == 0

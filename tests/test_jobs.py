@@ -23,7 +23,7 @@ ONE_ROW_WHEN_EMPTY = {
 
 @pytest.mark.parametrize("name", JOBS)
 def test_empty_input(spark, name):
-    expected = {"layer_row_counts": 2} | dict.fromkeys(ONE_ROW_WHEN_EMPTY, 1)
+    expected = {"layer_row_counts": 2, "quality_figures": 22} | dict.fromkeys(ONE_ROW_WHEN_EMPTY, 1)
     assert JOBS[name](empty_source(spark)).count() == expected.get(name, 0)
 
 

@@ -67,8 +67,9 @@ def test_only_needed_columns_and_tables_are_read(plans):
 def test_every_table_is_scanned_once(plans):
     for name, text in plans.items():
         scans = len(columns_read(text, "lineitem"))
-        # Two layers are counted in two jobs; the customer measures are stored before they are scored.
-        expected = 2 if name in ("layer_row_counts", "kept_ratio") else 0 if "rfm" in name or "matrix" in name else 1
+        # Two layers are counted in two jobs; what scores and figures are made of is stored before.
+        staged = "rfm" in name or "matrix" in name or name == "quality_figures"
+        expected = 2 if name in ("layer_row_counts", "kept_ratio") else 0 if staged else 1
         assert scans == expected, name
 
 
@@ -79,6 +80,32 @@ def test_lines_are_added_up_before_the_join_with_their_invoice(plans):
         assert "HashAggregate(keys=[order_key" in plans[name][join:], name
 
 
+def test_no_product_text_goes_through_a_shuffle_of_lines(plans):
+    for name in ("monthly_top3_products", "product_repurchase_top10", "hot_products", "gmv_by_product"):
+        text = plans[name]
+        # The headers' side of the join, and what is below it, has no text but in the products' own shuffle.
+        below = text[text.index("SortMergeJoin [order_key") :]
+        shuffled = [line for line in below.splitlines() if "Exchange hashpartitioning(order_key" in line or "Exchange hashpartitioning(part_key" in line]
+        assert shuffled, name
+        joined = [line for line in below.splitlines() if "Project [" in line and "order_key" in line]
+        assert joined and not any("description" in line or "p_name" in line for line in joined), name
+
+
+def test_filters_reach_the_files(plans):
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plans["monthly_gmv_mom"])
+    text = " ".join(pushed)
+    assert "GreaterThan(l_quantity" in text and "Or(IsNull(l_returnflag)" in text and "GreaterThan(p_retailprice" in text
+
+
+def test_quality_reports_read_each_layer_once(spark, star, monkeypatch):
+    from basketmill.plans import quality
+
+    read = []
+    monkeypatch.setattr(quality, "stage", lambda frame, label: read.append(plan(frame)) or frame)
+    quality.quality_reports(star)
+    assert [len(columns_read(text, "lineitem")) for text in read] == [1, 1]
+
+
 def test_top_rows_are_cut_before_the_shuffle(plans):
     assert plans["monthly_top3_products"].count("WindowGroupLimit") == 2
     for name in ("top_countries", "top_customers", "hot_products", "product_repurchase_top10", "rfm_customer_detail"):

@@ -53,7 +53,7 @@ def test_result_tables_are_replaced(warehouse, star):
         assert table.count() == first[name]
     assert [row["name"] for row in warehouse.result_tables().collect()] == sorted(RESULT_COLUMNS)
     assert [row["name"] for row in warehouse.tables().collect()] == sorted(
-        [*RESULT_COLUMNS, "ods_sales", "dwd_sales", "dws_invoices"]
+        [*RESULT_COLUMNS, "ods_sales", "dwd_sales", "dws_customer_months", "dws_customers", "dws_invoices"]
     )
 
 
@@ -101,6 +101,72 @@ def test_a_later_session_attaches_the_tables(spark, warehouse):
         later.table("nothing")
 
 
+def test_old_versions_are_removed(spark, tmp_path):
+    spark.sql("CREATE DATABASE versions")
+    here = Warehouse(spark, "versions", str(tmp_path))
+    for size in range(4):
+        assert here.write(spark.range(size), "numbers") == size  # an empty table too
+        assert here.table("numbers").count() == size
+    assert len(list((tmp_path / "numbers").iterdir())) == 2
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    """The number comes from the write itself: a table that is written anew at each reading would tell."""
+    spark.sql("CREATE DATABASE counted")
+    here = Warehouse(spark, "counted", str(tmp_path))
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    assert here.write(spark.range(100).mapInArrow(seen, "id long"), "numbers") == 100
+    assert reads.value == 100
+
+
+def test_jobs_start_from_the_smallest_stored_sums(warehouse, star):
+    source = warehouse.source()
+    for name, table in (
+        ("cohort_retention", "dws_customer_months"), ("customer_running_spend", "dws_customer_months"),
+        ("new_vs_returning_gmv", "dws_customer_months"), ("monthly_gmv_mom", "dws_customer_months"),
+        ("rfm_segments", "dws_customers"), ("rfm_customers", "dws_customers"), ("rfm_customer_detail", "dws_customers"),
+        ("rfm_segment_labels", "dws_customers"), ("top_customers", "dws_customers"), ("repurchase_rate", "dws_customers"),
+        ("hourly_order_volume", "dws_invoices"),
+    ):
+        job = JOBS[name](source)
+        plan = job._jdf.queryExecution().toString()
+        read = {word for word in ("dws_invoices", "dwd_sales", "ods_sales", "dws_customers", "dws_customer_months") if f"{word}/" in plan}
+        assert read == {table}, name
+        if name.startswith("rfm"):
+            assert "rangepartitioning(ranking" not in plan, name
+        assert sorted(rows(job), key=str) == sorted(rows(JOBS[name](star)), key=str), name
+
+
+def test_customer_months_need_no_shuffle_by_customer(spark, warehouse):
+    text = JOBS["customer_running_spend"](warehouse.source())._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Window" in text
+    # A later session knows the buckets too.
+    spark.sql("CREATE DATABASE buckets")
+    later = Warehouse(spark, "buckets", location=warehouse.location)
+    text = JOBS["customer_running_spend"](later.source())._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text
+
+
+def test_refused_lines_are_stored(spark, tmp_path):
+    (tmp_path / "lines.csv").write_text(
+        ",".join(FILE_COLUMNS) + "\n" + '1,S,"a\nb",6,1/2/2011 8:26:30 PM,2.5,17850,UK\n' + '2,S,12" A,6,1/2/2011 8:26:30 PM,2.5,1,UK 5",LOST\n'
+        "3,S,c,6.00000000004,1/2/2011 8:26:30 PM,2.5,1,UK\n4,S,c,6\n"
+    )
+    spark.sql("CREATE DATABASE refused")
+    here = Warehouse(spark, "refused", str(tmp_path / "tables"))
+    assert here.build_ods(str(tmp_path / "lines.csv"), on_extra_fields="reject", on_bad_number="reject") == 2
+    assert sorted(row["problem"] for row in here.table("ods_rejects").collect()) == ["not a whole number in Quantity", "too many fields"]
+    assert here.build_dwd() == 1
+    row = here.source().detail("invoice_ts", "description").first()
+    assert (str(row["invoice_ts"]), row["description"]) == ("2011-01-02 20:26:30", "A\nB")
+
+
 def test_command_line(spark, warehouse, capsys):
     from basketmill.__main__ import main
 
@@ -118,6 +184,9 @@ def test_command_line(spark, warehouse, capsys):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
     with pytest.raises(SystemExit):
         main(["quality", "--database", "shop"])
+    with pytest.raises(SystemExit, match="nothing_there.ods_sales does not exist"):
+        spark.sql("CREATE DATABASE nothing_there")
+        main(["show", "top_countries", "--database", "nothing_there", "--location", f"{warehouse.location}/none"])
     output = capsys.readouterr().out
     assert "drop:CustomerID_is_null" in output and "repurchase_rate_pct" in output and "ads_rfm_segments 6" in output
     assert "Champions" in output
