@@ -164,9 +164,15 @@ NEAR_MISSES = (
 )
 #: Words that deny what follows them, if that is one of the second kind and no template has the two together.
 DENIALS = ("not", "never", "no", "nor", "neither")
-DENIED = ("licensed", "released", "under", "available", "covered", "distributed", "granted", "permitted", "in", "free", "a", "license")
+DENIED = ("licensed", "released", "under", "available", "covered", "distributed", "granted", "permitted", "license")
 #: Words before a statement in which it may be denied.
 DENIED_BEFORE = 3
+#: Words that other texts often have too.
+COMMON = frozenset(
+    "a all an and any at be by can code copy conditions distribute following for free general general in included is it library may modify no not"
+    " notice of on or out program project provided public released rights software source subject terms that the this to under use version"
+    " with without work you your 0 1 2 3 4 v".split()
+)
 UNKNOWN = "unknown"
 FAMILIES = (*TEMPLATES, UNKNOWN)
 WORD_BORDER = r"[^\p{L}\p{N}]+"
@@ -188,6 +194,22 @@ def own_ngrams() -> dict[str, list[str]]:
     return {family: sorted(held[family] - others[family]) for family in held}
 
 
+def anchors() -> list[str]:
+    """Words of which a text must have one, if it holds enough of any template to be confirmed.
+
+    Of each template so many words that its n-grams without any of them are too few; common words come last, then short ones.
+    """
+    found = set()
+    for template in (one for templates in TEMPLATES.values() for one in templates):
+        every, rest = set(ngrams(template)), set(ngrams(template))
+        for word in sorted({word for word in _split(template)}, key=lambda word: (word in COMMON, -len(word), word)):
+            if len(rest) < CONFIRM * len(every):
+                break
+            found.add(word)
+            rest = {ngram for ngram in rest if word not in ngram.split()}
+    return sorted(found)
+
+
 def denied_pairs() -> list[str]:
     known = {ngram for templates in TEMPLATES.values() for one in templates for ngram in ngrams(one)}
     return [pair for deny in DENIALS for word in DENIED if (pair := f"{deny} {word}") not in known]
@@ -328,12 +350,16 @@ def _words(paragraph: Column) -> Column:
     return F.filter(F.split(F.lower(paragraph), WORD_BORDER), lambda word: word != "")
 
 
+def _feature(*words: Column) -> Column:
+    return F.pmod(F.xxhash64(*words), F.lit(FEATURES)).cast("int")
+
+
 def _weights(words: Column, weights: np.ndarray) -> Column:
     """What each word, and the pair with the word before it, add to the score."""
     table = _constant([round(float(weight), 6) for weight in weights], "array<double>")
 
     def weight(*hashed: Column) -> Column:
-        return F.get(table, F.pmod(F.xxhash64(*hashed), F.lit(FEATURES)).cast("int"))
+        return F.get(table, _feature(*hashed))
 
     # The hash passes over a null: before the first word there is none, so that one counts twice.
     return F.transform(words, lambda word, at: weight(word) + weight(F.get(words, at - 1), word))
@@ -457,6 +483,26 @@ def _tokens(lines: Column) -> Column:
     return F.flatten(F.transform(lines, of_line))
 
 
+def _cut(tokens: Column, numbers: Column, unit: Column) -> Column:
+    """A unit's tokens, their place, the words before them, and for a line its text; `numbers` are the tokens' lines, rising."""
+    line = unit["line"]
+    start = F.when(line.isNull(), unit["first"]).otherwise((F.array_position(numbers, line) - 1).cast("int"))
+    after = F.array_position(numbers, line + 1).cast("int")
+    end = F.when(after > 0, after - 1).otherwise(F.size(numbers))
+
+    def cut(first: Column) -> Column:
+        size = F.when(line.isNull(), unit["size"]).otherwise(end - first)
+        return F.struct(
+            line.alias("line"),
+            F.get(F.col("lines"), line).alias("whole"),
+            first.alias("first"),
+            F.slice(tokens, first + 1, size).alias("tokens"),
+            F.when(line.isNull(), F.transform(_before(tokens, first), lambda token: token["word"])).alias("lead"),
+        )
+
+    return _with(start, cut)
+
+
 def _before(tokens: Column, first: Column) -> Column:
     """The last tokens before one."""
     count = F.least(F.lit(DENIED_BEFORE), first)
@@ -498,69 +544,74 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unconfirme
     sampled = docs.join(F.broadcast(drawn), "doc_id")  # ids only, of bounded number
     model = train(unknown_sample(sampled.select("doc_id", lines)))
 
+    if not unconfirmed:
+        # Texts without any of these words hold no statement that could be confirmed. Looking for them costs far less than cutting words.
+        pattern = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(anchors())})(?![\p{{L}}\p{{N}}])"
+        docs = docs.filter(F.lower("text").rlike(pattern))
     rows = docs.select("doc_id", F.explode(_with(F.split("text", "\n"), _paragraphs)).alias("run")).select("doc_id", "run.*")
     rows = rows.withColumn("units", _passing(F.col("lines"), model.licence, model.licence_bias))
     # Filters aren't moved below a number that is given out, so that units are found once and templates are compared with few.
     rows = rows.withColumn("run", F.monotonically_increasing_id()).filter((F.size("units") > 0) & (F.col("run") >= 0))
     tokens = _with(
-        _tokens(F.col("lines")),
-        lambda tokens: F.transform(
-            "units",
-            lambda unit: F.struct(
-                unit["line"].alias("line"),
-                F.get(F.col("lines"), unit["line"]).alias("whole"),
-                F.coalesce(unit["first"], F.lit(0)).alias("first"),
-                F.when(unit["line"].isNull(), F.slice(tokens, unit["first"] + 1, unit["size"]))
-                .otherwise(F.filter(tokens, lambda token: token["line"] == unit["line"]))
-                .alias("tokens"),
-                F.when(unit["line"].isNull(), F.transform(_before(tokens, unit["first"]), lambda token: token["word"])).alias("lead"),
-                F.when(unit["line"].isNotNull(), F.size(F.filter(tokens, lambda token: token["line"] < unit["line"]))).alias("before"),
-            ),
-        ),
+        _tokens(F.col("lines")), lambda tokens: _with(tokens["line"], lambda numbers: F.transform("units", lambda unit: _cut(tokens, numbers, unit)))
     )
     rows = rows.select("doc_id", "position", "run", F.explode(tokens).alias("unit")).select("doc_id", "position", "run", "unit.*")
-    rows = rows.withColumn("first", F.coalesce("before", "first")).drop("before")
     templates = [[sorted(set(ngrams(one))) for one in TEMPLATES[family]] for family in TEMPLATES]
     if not unconfirmed:
         # Only units that some template confirms go on; those are few.
         every = F.lit(json.dumps(sorted({ngram for family in templates for one in family for ngram in one})))
-        known = F.array_intersect(_ngrams(F.col("tokens.word")), F.from_json(every, "array<string>"))
-        rows = rows.withColumn("known", known)
         flat = _constant([one for family in templates for one in family], "array<array<string>>")
-        enough = F.exists(flat, lambda one: F.size(F.array_intersect(one, F.col("known"))) >= CONFIRM * F.size(one))
         least = min(len(one) for family in templates for one in family)
-        rows = rows.withColumn("unit", F.monotonically_increasing_id())
-        rows = rows.filter((F.col("unit") >= 0) & (F.size("known") >= CONFIRM * least) & enough).drop("unit", "known")
-    rows = stage(rows, "licence-units")
-
-    def guess(words: Column) -> Column:
-        classes = zip(model.families, model.family_bias, strict=True)
-        return F.array(*(_logit(words, weights, float(bias)) for weights, bias in classes))
-
-    def most_likely(logits: Column) -> Column:
-        top = F.array_max(logits)
-        total = F.aggregate(F.transform(logits, lambda one: F.exp(one - top)), F.lit(0.0), lambda total, one: total + one)
-        return F.struct((1 / total).alias("probability"), F.array_position(logits, top).cast("int").alias("class"))
-
-    guessed = _with(_with(F.col("tokens.word"), guess), most_likely)
-    rows = rows.select("*", guessed.alias("guess")).select("*", "guess.*", F.monotonically_increasing_id().alias("number")).drop("guess")
-    rows = rows.filter((F.col("number") >= 0) & (F.col("class") < len(FAMILIES)) & (F.col("probability") >= ACCEPT))
-    rows = rows.withColumn("ngrams", _ngrams(F.col("tokens.word")))
+
+        def possible(known: Column) -> Column:
+            held = F.exists(flat, lambda one: F.size(F.array_intersect(one, known)) >= CONFIRM * F.size(one))
+            return (F.size(known) >= CONFIRM * least) & held
+
+        # Bound to a name, as what a lambda mentions is computed anew for each of its elements.
+        known = F.array_intersect(_ngrams(F.col("tokens.word")), F.from_json(every, "array<string>"))
+        rows = rows.withColumn("possible", _with(known, possible)).withColumn("unit", F.monotonically_increasing_id())
+        rows = rows.filter((F.col("unit") >= 0) & F.col("possible")).drop("unit", "possible")
+    rows = stage(rows.withColumn("number", F.monotonically_increasing_id()), "licence-units")
+
+    # Each word and pair is hashed once and finds the weights of all classes in a table of fixed size.
+    names = [f"class{number}" for number in range(len(FAMILIES))]
+    weights = docs.sparkSession.createDataFrame(
+        [(feature, *map(float, row)) for feature, row in enumerate(model.families.T)], ", ".join(["feature int", *(f"{name} double" for name in names)])
+    )
+    hashed = F.flatten(F.transform("tokens.word", lambda word, at: F.array(_feature(word), _feature(F.get(F.col("tokens.word"), at - 1), word))))
+    sums = rows.select("number", F.explode(hashed).alias("feature")).join(F.broadcast(weights), "feature").groupBy("number")
+    sums = sums.agg(*(F.sum(name).alias(name) for name in names))
+    rows = rows.join(sums, "number")
+    logits = [F.col(name) / F.sqrt(2 * F.size("tokens")) + float(bias) for name, bias in zip(names, model.family_bias, strict=True)]
+    rows = rows.withColumn("logits", F.array(*logits)).drop(*names).withColumn("top", F.array_max("logits"))
+    total = F.aggregate(F.transform("logits", lambda one: F.exp(one - F.col("top"))), F.lit(0.0), lambda total, one: total + one)
+    rows = rows.withColumns({"probability": 1 / total, "class": F.array_position("logits", F.col("top")).cast("int")})
+    rows = rows.filter((F.col("class") < len(FAMILIES)) & (F.col("probability") >= ACCEPT))
     known = F.get(_constant(templates, "array<array<array<string>>>"), F.col("class") - 1)
-    shares = F.transform(known, lambda one: F.struct((F.size(F.array_intersect(one, F.col("ngrams"))) / F.size(one)).alias("share"), one.alias("template")))
-    rows = rows.withColumn("best", F.array_max(shares)).withColumn("similarity", F.col("best.share"))
     own = F.get(_constant(list(own_ngrams().values()), "array<array<string>>"), F.col("class") - 1)
-    rows = rows.withColumn("confirmed", (F.col("similarity") >= CONFIRM) & F.arrays_overlap(own, "ngrams"))
-    # From the first to the last pair of the template, or the whole unit without any.
-    size = F.size("tokens")
-    pairs = F.slice("ngrams", size + 1, size)
-    matched = F.filter(
-        F.sequence(F.lit(0), F.greatest(F.lit(0), size - 2)),
-        lambda at: F.array_contains(F.col("best.template"), F.get(pairs, at)),
-    )
-    rows = rows.withColumn("matched", matched)
-    rows = rows.withColumn("from", F.coalesce(F.array_min("matched"), F.lit(0)))
-    rows = rows.withColumn("count", F.coalesce(F.array_max("matched") + 2, size) - F.col("from"))
+
+    def compared(grams: Column) -> Column:
+        shares = F.transform(known, lambda one: F.struct((F.size(F.array_intersect(one, grams)) / F.size(one)).alias("share"), one.alias("template")))
+        return _with(F.array_max(shares), lambda best: _with(matching(best["template"], grams), lambda at: outcome(best, grams, at)))
+
+    def matching(template: Column, grams: Column) -> Column:
+        """Places of the unit's pairs that the template has."""
+        size = F.size("tokens")
+        pairs = F.slice(grams, size + 1, size)
+        places = F.sequence(F.lit(0), F.greatest(F.lit(0), size - 2))
+        return _with(pairs, lambda pairs: F.filter(places, lambda at: F.array_contains(template, F.get(pairs, at))))
+
+    def outcome(best: Column, grams: Column, at: Column) -> Column:
+        # From the first to the last pair of the template, or the whole unit without any.
+        first = F.coalesce(F.array_min(at), F.lit(0))
+        return F.struct(
+            best["share"].alias("similarity"),
+            ((best["share"] >= CONFIRM) & F.arrays_overlap(own, grams)).alias("confirmed"),
+            first.alias("from"),
+            (F.coalesce(F.array_max(at) + 2, F.size("tokens")) - first).alias("count"),
+        )
+
+    rows = rows.select("*", _with(_ngrams(F.col("tokens.word")), compared).alias("compared")).select("*", "compared.*").drop("compared")
     # With the words before it, in which the statement may be denied.
     words = F.concat(F.coalesce("lead", F.array().cast("array<string>")), F.col("tokens.word"))
     start = F.coalesce(F.size("lead"), F.lit(0)) + F.col("from")

@@ -16,6 +16,7 @@ import xxhash
 from conftest import SMALL, TESTDATA
 from pyspark.sql import functions as F
 
+from basketmill.llm.common import draw
 from basketmill.llm import (
     components,
     html_text,
@@ -84,6 +85,23 @@ def test_token_counts(spark, odd, none):
     assert token_count.count_tokens(none, queries.WORD_TOKENIZER).count() == 0
 
 
+def test_token_counts_of_rare_characters():
+    """Characters that the library's tables and those of the patterns here class differently, among others, against the library."""
+    from pathlib import Path
+
+    from tokenizers import Tokenizer
+
+    others = token_count.other_classes()
+    counter = token_count.HeapMergeCounter(Path(queries.WORD_TOKENIZER).read_text(encoding="utf-8"), others)
+    library = Tokenizer.from_file(queries.WORD_TOKENIZER)
+    rng = random.Random(0)
+    drawn = [rng.choice(list(others)) for _ in range(300)] + [rng.randrange(0xE000, 0x110000) for _ in range(100)] + [rng.randrange(0xD800) for _ in range(300)]
+    parts = [*map(chr, drawn), *map(chr, range(32, 127)), "'s", "'T", " ", "the"]
+    for _ in range(5000):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 14)))
+        assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids), text
+
+
 def held_out_rate(rows, truth, positive):
     known = [(row["predicted"], truth[row["doc_id"]]) for row in rows if row["held_out"] and row["doc_id"] in truth]
     hits = [one == positive for one, label in known if label == positive]
@@ -104,6 +122,31 @@ def test_toxicity(spark, odd, none):
         assert toxicity.score_documents(none, label_rows).count() == 0
 
 
+def test_samples_take_one_text_of_an_id(spark, monkeypatch):
+    """One id a great many times: what reaches the driver doesn't grow with its rows."""
+    taken = []
+    for module in (toxicity, quality):
+        monkeypatch.setattr(module, "stage", lambda frame, label: taken.append(frame.count()) or frame)
+    docs = spark.range(100_000).selectExpr("if(id < 99900, 7, id) AS doc_id", "concat('text number ', id) AS text")
+    labels = spark.range(99_900, 100_000).selectExpr("id AS doc_id", "int(id % 2) AS quality", "int(id % 2) AS toxic")
+    labels = labels.union(spark.createDataFrame([(7, 1, 1)], "doc_id long, quality int, toxic int"))
+    toxicity.train_toxicity(docs, labels, F.lit(True))
+    quality.train_quality(docs, labels, F.lit(True))
+    assert taken[0] <= 2 * 101 and taken[1] <= 101
+
+
+def test_rows_drawn_are_the_first_by_hash(spark):
+    for count, most in ((50, 100), (5000, 100), (5000, 4999), (5000, 5000)):
+        rows = spark.range(count).selectExpr("id", "if(id % 3 = 0, 1, id) AS key")
+        for key in ("id", "key"):
+            found = draw(rows, most, key, "id") if key == "key" else draw(rows, most, "id")
+            if key == "id":
+                expected = rows.orderBy(F.xxhash64("id"), "id").limit(most)
+            else:
+                expected = rows.orderBy(F.xxhash64("key", "id"), "key", "id").limit(most)
+            assert sorted(row["id"] for row in found) == sorted(row["id"] for row in expected.collect())
+
+
 @pytest.mark.parametrize("positives", [1, 2, 3])
 def test_toxicity_of_few_positives(spark, tmp_path, positives):
     """Nothing to learn from, so that no text is toxic and none is dropped, the empty ones included."""
@@ -517,3 +560,129 @@ def test_neighbours(spark):
     few = df.filter("vec_id < 5")
     check_neighbours(rp_forest.nearest(few).collect(), {i: vectors[i] for i in range(5)}, 20, 1.0)
     assert rp_forest.nearest(df.limit(0)).count() == 0
+
+
+def test_signatures_of_long_texts_stay_apart():
+    """A million phrases, of which none is in both."""
+    for size in (1000, 1_000_000):
+        one, other = ([f"{name}{at}" for at in range(size)] for name in "ab")
+        assert lz_fingerprint.likeness(lz_fingerprint.signature(one), lz_fingerprint.signature(other)) < 0.01
+        assert lz_fingerprint.likeness(lz_fingerprint.signature(one), lz_fingerprint.signature(one[::-1])) == 1
+
+
+LANGUAGES = {
+    "Polish": "Wczoraj wieczorem na rynku starego miasta odbył się koncert zespołu, który przyciągnął tłumy słuchaczy z całego regionu, a organizatorzy zapowiedzieli już kolejne wydarzenia.",
+    "Dutch": "Gisteravond vond op het oude marktplein een concert plaats waar honderden bezoekers uit de hele streek naartoe kwamen, zeiden organisatoren tegen verslaggevers.",
+    "Portuguese": "Ontem foi realizado um concerto na praça antiga da cidade, onde centenas de visitantes vieram ouvir músicas tradicionais, disseram organizadores aos jornalistas presentes.",
+    "Chinese": "昨天晚上在老城广场举行了一场音乐会，来自整个地区的数百名观众前来聆听传统音乐，组织者对记者表示今年夏天还将举办更多活动，欢迎大家继续参加。",
+    "English": "The concert was held in the old market square of the town and it was attended by many people from the region who had come to listen to it.",
+}
+
+
+@pytest.mark.parametrize("language", LANGUAGES)
+def test_plain_pages_in_any_language(language):
+    text = LANGUAGES[language]
+    menu = '<div class="nav"><a href="/">Home</a> <a href="/a">About</a></div>'
+    page = f"<html><body>{menu}<div>Title 1</div><div><p>{text}</p><p>{text}</p></div><div>© 2020 someone</div></body></html>"
+    assert html_text.main_text(page) == f"Title 1\n\n{text}\n\n{text}"
+
+
+def test_tables_of_numbers_between_paragraphs_are_kept():
+    text, numbers = LANGUAGES["English"], " ".join(map(str, range(1, 40)))
+    page = f"<div><p>{text}</p><table><tr><td>{numbers}</td></tr></table><p>{text}</p></div>"
+    assert html_text.main_text(page) == f"{text}\n\n{numbers}\n\n{text}"
+
+
+def test_unclosed_tags_take_time_in_proportion():
+    import time
+
+    def seconds(page):
+        start = time.process_time()
+        html_text.main_text(page)
+        return time.process_time() - start
+
+    for begin in ("", "<i><div>"):
+        few, many = (min(seconds(begin + "<b>" * n + "x</i>" * n) for _ in range(2)) for n in (10_000, 100_000))
+        assert many < 30 * max(few, 0.01) and many < 5
+
+
+def test_neighbours_recall_with_the_shipped_share(spark):
+    """Against brute force, at two sizes; the share is the same at all."""
+    for folder in (f"{TESTDATA}/sf0.01", f"{TESTDATA}/sf0.1"):
+        found = {(row["query_id"], row["vec_id"]) for row in queries.op10_neighbours(spark, folder).collect()}
+        ids, vectors = zip(*duckdb.sql(f"SELECT vec_id, embedding FROM '{folder}/embeddings.parquet'").fetchall(), strict=True)
+        ids, vectors = np.array(ids), np.array(vectors, dtype=np.float64)
+        hits = total = 0
+        for at in np.flatnonzero(ids % 20 == 0):
+            scores = vectors @ vectors[at]
+            scores[at] = -np.inf
+            nearest = ids[np.lexsort((ids, -scores))[:20]]
+            hits += sum((ids[at], one) in found for one in nearest)
+            total += len(nearest)
+        assert hits >= 0.93 * total, (folder, hits / total)
+
+
+# ---- the pipeline
+
+
+def near_groups(rows):
+    """Numbers of the rows by group, by comparing every fingerprint with every other one."""
+    prints = [simhash.fingerprint(text or "", 3) for _, text in rows]
+    group = list(range(len(rows)))
+    for one in range(len(rows)):
+        for other in range(one):
+            if (prints[one] ^ prints[other]).bit_count() <= 3 and group[one] != group[other]:
+                old, new = group[one], group[other]
+                group = [new if at == old else at for at in group]
+    return group
+
+
+def kept_by_hand(rows):
+    """The place of each group's first row: by id, rows without one last."""
+    best = {}
+    for at, (group, row) in enumerate(zip(near_groups(rows), rows, strict=True)):
+        best.setdefault(group, []).append((row[0] is None, row[0] or 0, at))
+    return {group: {(rows[at][0], rows[at][1]) for null, doc_id, at in places if (null, doc_id) == min(places)[:2]} for group, places in best.items()}
+
+
+def test_near_duplicates_stage(spark):
+    texts = [f"{word} one two three four five six seven eight nine ten eleven twelve" for word in ("alpha", "beta", "gamma", "delta")]
+    rows = [
+        (1, texts[0]), (2, texts[0]), (2, texts[1]), (3, texts[1]), (3, texts[1]), (None, texts[2]), (None, texts[2]), (None, texts[0]),
+        (None, None), (None, ""), (9, " "), (4, texts[3] * 3), (4, texts[3] * 3 + " and more words after it"),
+    ]
+    docs = spark.createDataFrame([(*row, "x", at) for at, row in enumerate(rows)], "doc_id long, text string, component_id string, place int")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    found, expected = [(row["doc_id"], row["text"]) for row in kept.collect()], kept_by_hand(rows)
+    assert len(found) == len(expected)
+    for choices in expected.values():
+        assert len(choices & set(found)) == 1
+    assert (2, texts[1]) in found  # not a copy of what else has id 2
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), SMALL).count() == 0
+
+
+def test_pipeline_equals_its_stages_by_hand(spark, tmp_path):
+    """All of run() on a small table: scores by the operators' own queries, groups and packing by brute force."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    more = spark.createDataFrame([(2, None), (None, "some text of no id at all that nobody copies"), (5, "")], "doc_id long, text string")
+    docs.unionByName(more, allowMissingColumns=True).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SMALL}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, labels = (spark.read.parquet(f"{tmp_path}/{name}.parquet") for name in ("documents", "labels"))
+    clean = toxicity.score_documents(docs, labels).filter("predicted = 0").select("doc_id").distinct()
+    kept = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
+    assert {row["doc_id"] for row in kept.collect()} == {row["doc_id"] for row in clean.collect()} and kept.columns == docs.columns
+    good = corpus_pipeline.keep_good(spark, kept, str(tmp_path))
+    scored = quality.score_documents(kept, labels).filter("predicted = 1")
+    assert sorted(str(row["doc_id"]) for row in good.collect()) == sorted(str(row["doc_id"]) for row in scored.collect())
+    rows = [(row["doc_id"], row["text"]) for row in good.collect()]
+    expected = kept_by_hand(rows)
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len({(row["doc_id"], row["doc_tokens"]) for row in pieces}) <= len(expected)
+    lengths = sorted(len(ids_of(sorted(choices, key=str)[0][1])) + 1 for choices in expected.values() if len(choices) == 1)
+    found = sorted(row["doc_tokens"] for row in pieces if row["start"] == 0)
+    assert len(found) == len(expected) and not set(lengths) - set(found)
+    assert sum(row["length"] for row in pieces) == sum(found)
+    empty = docs.limit(0)
+    for _, step in corpus_pipeline.STAGES:
+        assert step(spark, empty, str(tmp_path)).count() == 0
