@@ -9,7 +9,7 @@ from functools import cache
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 PACKAGE = Path(__file__).resolve().parent.parent
@@ -61,6 +61,21 @@ def doc_crc(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary"))
 
 
+def draw(rows: DataFrame, most: int, *key: str) -> list[Row]:
+    """The rows that come first by a hash of their key, `most` of them, or all if there are fewer.
+
+    Their number tells below which hash they lie, about, so that tasks hand on few more than are drawn, however many rows there are.
+    """
+    hashed = F.xxhash64(*key)
+    share = (2 * most + 200) / max(1, rows.count())  # some more than are needed, by far beyond chance
+    if share < 0.9:
+        found = rows.filter(hashed <= int(-(2**63) + share * 2**64)).orderBy(hashed, *key).limit(most).collect()
+        if len(found) == most:
+            return found
+    # Few rows, or very many equal ones.
+    return rows.orderBy(hashed, *key).limit(most).collect()
+
+
 class Recent(dict):
     """Results of a function of short strings, the more recent ones kept: at most twice `size` of them."""
 

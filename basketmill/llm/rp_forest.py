@@ -20,10 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketmill.llm.common import ship_code
+from basketmill.llm.common import draw, ship_code
 
 #: Vectors that the trees are fitted on, at most.
 SAMPLE = 16_384
@@ -32,9 +32,7 @@ LEAF_SAMPLE = 32
 DEEPEST = 9
 TREES = 3
 #: Candidates that a query takes from the queue, as a share of the rows.
-SEARCH_SHARE = 0.9
-#: And at least so many.
-SEARCH_LEAST = 4096
+SEARCH_SHARE = 1.4
 PAGE_ROWS = 4096
 AT_ONCE = 256
 
@@ -163,9 +161,9 @@ def nearest(
     if not totals["n"]:
         return spark.createDataFrame([], schema)
     longest = totals["longest"]
-    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(SAMPLE).collect()
-    sample_ids = np.array([row["vec_id"] for row in drawn])
-    sample = np.array([row["vector"] for row in drawn])
+    chosen = draw(rows, SAMPLE, "vec_id", "vector")
+    sample_ids = np.array([row["vec_id"] for row in chosen])
+    sample = np.array([row["vector"] for row in chosen])
     depth = max(0, min(DEEPEST, int(np.log2(max(1, len(sample) / LEAF_SAMPLE)))))
     forest = [fit_tree(_lengthened(sample, longest), depth, seed) for seed in range(trees)]
     per_tree = 2**depth
@@ -185,7 +183,7 @@ def nearest(
     # The sample is bounded, and so are the forest and the leaves' table.
     sample_leaves = [tree.leaves(_lengthened(sample, longest)) + at * per_tree for at, tree in enumerate(forest)]
     shared = spark.sparkContext.broadcast((pages, sample_ids, sample, sample_leaves))
-    budget = max(SEARCH_LEAST, int(share * totals["n"]))
+    budget = max(k, int(share * totals["n"]))
 
     @F.pandas_udf("long")
     def page_of(leaves: pd.Series, ids: pd.Series) -> pd.Series:
@@ -230,11 +228,10 @@ def nearest(
     dealt = held.unionByName(probes).repartition("page").sortWithinPartitions("page", "probe")
     found = dealt.mapInPandas(lambda batches: ranked(batches, k), "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    top = best.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))).alias("all"))
-    top = top.select("query_id", F.posexplode(F.slice("all", 1, k)).alias("rank", "one"))
-    return top.select(
-        "query_id", (F.col("rank") + 1).cast("int").alias("rank"), "one.vec_id", (-F.col("one.s")).alias("score")
-    )
+    # The limit is applied before the shuffle too, so that no task holds more of a query than it returns.
+    nearest_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    top = best.withColumn("rank", F.row_number().over(nearest_first)).filter(F.col("rank") <= k)
+    return top.select("query_id", "rank", "vec_id", "score")
 
 
 def least_scores(
