@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketmill.llm.common import once_per_worker, ship_code, texts
+from basketmill.llm.common import draw, once_per_worker, ship_code, texts
 
 # The patterns, in the order of their kinds, with the least length of the match or, for "assign", of group 2.
 ASSIGN = re.compile(
@@ -533,9 +533,8 @@ def draw_sample(docs: DataFrame, doc_id: str, text: str) -> list[str]:
     """One passage each of at most `SAMPLE_DOCUMENTS` documents, in the order of a hash, from a place that a hash tells."""
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     start = F.pmod(F.xxhash64(doc_id, F.lit("start")), F.greatest(F.lit(1), F.length(value) - SAMPLE_CHARACTERS + 1)) + 1
-    drawn = docs.select(F.col(doc_id).alias("id"), F.substring(value, start.cast("int"), F.lit(SAMPLE_CHARACTERS)).alias("part"))
-    drawn = drawn.orderBy(F.xxhash64("id"), "id", "part").limit(SAMPLE_DOCUMENTS)
-    return [row["part"] for row in drawn.collect()]
+    parts = docs.select(F.col(doc_id).alias("id"), F.substring(value, start.cast("int"), F.lit(SAMPLE_CHARACTERS)).alias("part"))
+    return [row["part"] for row in draw(parts, SAMPLE_DOCUMENTS, "id", "part")]
 
 
 def secret_spans(docs: DataFrame, text: str, model: Field) -> Column:
