@@ -104,7 +104,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: str
     """Fit on the rows for which `learn`, a condition on the column doc_id, holds.
 
     `labels` has doc_id and quality; an id is good if any of its rows has quality = 1. Of each class at most `DICTIONARY_TEXTS`
-    texts (a third of the class at most) build its dictionary and `CALIBRATION_TEXTS` others calibrate, chosen by a hash of the id.
+    texts (a third of the class at most) build its dictionary and `CALIBRATION_TEXTS` others calibrate, chosen by a hash of the id, one text for each id.
     """
     spark = docs.sparkSession
     ship_code(spark)
@@ -125,7 +125,9 @@ def train_quality(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: str
         part = ids.select("doc_id", "good", builds.alias("builds"))
         chosen = part if chosen is None else chosen.unionByName(part)
     # Ids only, of bounded number.
-    sample = stage(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "good", "builds"), "quality-sample")
+    one = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "good", "builds")
+    one = one.agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("row"))  # however often an id is repeated
+    sample = stage(one.select("doc_id", "row.text", "good", "builds"), "quality-sample")
     material = sample.filter(F.col("builds") & (F.length("text") <= LONGEST_SAMPLE)).orderBy(F.xxhash64("doc_id"), "text")
     gathered: dict[bool, list[bytes]] = {True: [], False: []}
     for row in material.select("good", "text").collect():

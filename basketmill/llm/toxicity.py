@@ -172,7 +172,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: st
 
     `labels` has doc_id and toxic; an id is positive if any of its rows has toxic = 1. The class prior is the share
     of positives among learnt rows with a label. At most `MOST_POSITIVES` confirmed texts and `MOST_UNLABELLED`
-    texts of any kind are used, chosen by a hash of the id; the driver gets the selected features' numbers only.
+    texts of any kind are used, chosen by a hash of the id, one text for each id; the driver gets the selected features' numbers only.
     """
     spark = docs.sparkSession
     ship_code(spark)
@@ -183,7 +183,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: st
     positive = _sample_of(known.filter("toxic = 1").select("doc_id"), MOST_POSITIVES).withColumn("positive", F.lit(True))
     other = _sample_of(docs.select("doc_id"), MOST_UNLABELLED).withColumn("positive", F.lit(False))
     chosen = F.broadcast(positive.unionByName(other))  # ids only, of bounded number
-    sample = stage(docs.join(chosen, "doc_id").select("text", "positive"), "toxicity-sample")
+    # One text for each id and kind, however often an id is repeated.
+    one = docs.join(chosen, "doc_id").groupBy("doc_id", "positive").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("row"))
+    sample = stage(one.select("row.text", "positive"), "toxicity-sample")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
