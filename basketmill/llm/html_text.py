@@ -2,8 +2,9 @@
 
 A page is cut into blocks at its block-level tags. The first pass decides what it can of each block by itself: blocks in
 menus, footers, forms and the like are bad, as are those made of links; long blocks with many stop words are good. Short
-blocks, and long ones inside an article without stop words, stay ambiguous. In the second pass these
-take the label of their nearest decided neighbours.
+blocks, and long ones without stop words, stay ambiguous. In the second pass these take the label of their nearest decided
+neighbours. The stop words are of English, German, French and Spanish; where they tell no block of a page to be good, long
+blocks with few links are.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import html
 import re
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -41,6 +42,7 @@ CLOSED_BY = {
     "th": ("td", "th"),
     "option": ("option",),
 }
+LIST_TAGS = ("ul", "ol", "dl", "table", "select")
 #: Words in class, id or role that mark what is not the article.
 BOILERPLATE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments complementary"
@@ -68,6 +70,8 @@ SHORT = 70
 LONG = 200
 STOP_LOW, STOP_HIGH = 0.15, 0.25
 LINKS = 0.4
+#: Share of links up to which a block whose language isn't known may be good by its length.
+FEW_LINKS = 0.1
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -148,16 +152,28 @@ def blocks_of(page: str) -> list[Block]:
             found.append(Block(joined, now.links / len(joined), top.boilerplate, top.article, now.heading))
         now = _Builder()
 
-    def close(names: tuple[str, ...], until: frozenset[str] = frozenset()) -> None:
-        """End the innermost open element of these names, unless one of `until` is inside it."""
+    #: Where each open element's name, and a block of any name, is on the stack.
+    places: dict[str, list[int]] = {}
+    blocks: list[int] = []
+
+    def innermost(names: Iterable[str]) -> int:
+        return max((places[name][-1] for name in names if places.get(name)), default=-1)
+
+    def close(names: tuple[str, ...], until: Callable[[], int] = lambda: -1) -> None:
+        """End the innermost open element of these names, unless what `until` tells the place of is inside it."""
         nonlocal links
-        for at in range(len(stack) - 1, -1, -1):
-            if stack[at].name in names:
-                links -= sum(one.name == "a" for one in stack[at:])
-                del stack[at:]
-                return
-            if stack[at].name in until:
-                return
+        at = innermost(names)
+        if at < 0 or until() > at:
+            return
+        for one in reversed(stack[at:]):
+            links -= one.name == "a"
+            places[one.name].pop()
+            if one.name in BLOCK_TAGS:
+                blocks.pop()
+        del stack[at:]
+
+    def last_block() -> int:
+        return blocks[-1] if blocks else -1
 
     at = 0
     while tag := TOKEN.search(page, at):
@@ -171,21 +187,27 @@ def blocks_of(page: str) -> list[Block]:
         elif tag["end"]:
             if name in BLOCK_TAGS:
                 border()
-            close((name,), BLOCK_TAGS - {name} if name not in BLOCK_TAGS else frozenset())
+            if name in BLOCK_TAGS:
+                close((name,))
+            else:
+                close((name,), last_block)
         elif name in RAW_TAGS:
             end = re.compile(f"</{name}(?=[\\s/>]|\\Z)", re.IGNORECASE).search(page, at)
             at = end.start() if end else len(page)
         else:
             if name in BLOCK_TAGS:
                 border()
-                close(("p",), BLOCK_TAGS - {"p"})
+                close(("p",), last_block)
                 now.heading = name in HEADING_TAGS
             if name in CLOSED_BY:
-                close(CLOSED_BY[name], frozenset(("ul", "ol", "dl", "table", "select")))
+                close(CLOSED_BY[name], lambda: innermost(LIST_TAGS))
             if name not in VOID_TAGS:
                 top = stack[-1] if stack else _Open("", False, False, False)
                 attributes = tag["attributes"]
                 links += name == "a"
+                places.setdefault(name, []).append(len(stack))
+                if name in BLOCK_TAGS:
+                    blocks.append(len(stack))
                 stack.append(
                     _Open(
                         name,
@@ -216,7 +238,19 @@ def first_pass(block: Block) -> str:
     density = stop_density(block.text)
     if density >= (STOP_LOW if len(block.text) >= LONG else STOP_HIGH):
         return "good"
-    return "" if block.article or density >= STOP_LOW else "bad"
+    # Text in another language, numbers and code have few stop words too.
+    return ""
+
+
+def by_length(blocks: list[Block]) -> None:
+    """Where stop words tell no block of a page to be good, length and links do: its language is none of theirs."""
+    rest = [block for block in blocks if not block.boilerplate]
+    if not any(block.label == "good" for block in rest):
+        for block in rest:
+            # Scripts that have no spaces say more with a character.
+            size = len(block.text) + sum(2 for c in block.text if c >= "\u2e80")
+            if not block.label and size >= SHORT and block.linked <= FEW_LINKS:
+                block.label = "good"
 
 
 def second_pass(blocks: list[Block]) -> None:
@@ -269,6 +303,7 @@ def main_text(page: str) -> str:
     blocks = blocks_of(page)
     for block in blocks:
         block.label = first_pass(block)
+    by_length(blocks)
     second_pass(blocks)
     return "\n\n".join(block.text for block in blocks if block.label == "good")
 
