@@ -29,6 +29,8 @@ RANGES = 8
 #: An odd number, so that its powers modulo 2**64 have inverses.
 BASE = 0x9E3779B97F4A7C15
 NONE = 0xFFFF
+#: Of a bin that no phrase falls in, before it is folded.
+NOTHING = 2**64 - 1
 LEAST_ID = -(2**63)
 
 
@@ -78,16 +80,26 @@ def phrase_hashes(phrases: list[str]) -> np.ndarray:
     return value ^ value >> np.uint64(33)
 
 
-def signature(phrases: list[str]) -> np.ndarray:
-    """Least value of each bin, 16 bits of it; `NONE` where no phrase falls."""
-    out = np.full(BINS, NONE, dtype=np.uint16)
+def minima(phrases: list[str]) -> np.ndarray:
+    """Least hash of each bin; `NOTHING` where no phrase falls."""
+    least = np.full(BINS, NOTHING, dtype=np.uint64)
     if phrases:
         hashes = phrase_hashes(phrases)
         bins = (hashes >> np.uint64(57)).astype(np.int64)
-        least = np.full(BINS, NONE, dtype=np.uint64)
-        np.minimum.at(least, bins, (hashes & np.uint64(0xFFFFFFFF)) % np.uint64(NONE))
-        out = least.astype(np.uint16)
-    return out
+        np.minimum.at(least, bins, hashes & np.uint64(2**57 - 1))
+    return least
+
+
+def folded(least: np.ndarray) -> np.ndarray:
+    """16 bits mixed from each minimum, which are spread evenly however small the minima of long texts are."""
+    mixed = (least ^ least >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ mixed >> np.uint64(32)) % np.uint64(NONE)
+    return np.where(least == NOTHING, NONE, mixed).astype(np.uint16)
+
+
+def signature(phrases: list[str]) -> np.ndarray:
+    """16 bits of each bin; `NONE` where no phrase falls."""
+    return folded(minima(phrases))
 
 
 def likeness(one: np.ndarray, other: np.ndarray) -> float:
@@ -112,13 +124,13 @@ class Parsed:
         self.known: set[str] = set()
         phrases, left = parse(text[: self.kept], self.known)
         self.border = self.kept - left
-        self.first = signature(phrases)
-        self.all = np.minimum(self.first, signature(parse(text[self.border :], self.known.copy())[0]))
+        self.first = minima(phrases)
+        self.all = folded(np.minimum(self.first, minima(parse(text[self.border :], self.known.copy())[0])))
 
     def edited(self, following: str) -> tuple[str, np.ndarray]:
         """The text with its second half replaced by the beginning of another one, and its signature; uses up the dictionary."""
         text = self.text[: self.kept] + following[: len(self.text) // 2]
-        return text, np.minimum(self.first, signature(parse(text[self.border :], self.known)[0]))
+        return text, folded(np.minimum(self.first, minima(parse(text[self.border :], self.known)[0])))
 
 
 def fingerprint(docs: DataFrame, text: str) -> Column:
