@@ -11,12 +11,15 @@ Words recur, so each Python worker keeps the counts of the pieces of text betwee
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
 from heapq import heapify, heappop, heappush
 from itertools import pairwise
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
@@ -39,10 +42,43 @@ def byte_symbols() -> dict[int, str]:
     return {byte: chr(byte) for byte in plain} | {byte: chr(256 + k) for k, byte in enumerate(others)}
 
 
+#: Characters that are a letter, a number, or neither, wherever tables are of, and in no vocabulary's contractions.
+STANDS_FOR = {(True, False): "\u0436", (False, True): "\u0664", (False, False): "\u2603"}
+
+
+def library_class(name: str) -> np.ndarray:
+    """Whether each code point has a Unicode property in the tables of the tokenizers library."""
+    from tokenizers import Regex
+    from tokenizers.pre_tokenizers import Split
+
+    points = np.array([point for point in range(0x110000) if not 0xD800 <= point < 0xE000])
+    rest = Split(Regex(rf"\p{{{name}}}"), "removed").pre_tokenize_str("".join(map(chr, points)))
+    found = np.zeros(0x110000, dtype=bool)
+    found[points] = True
+    for _, (start, end) in rest:  # what is left has no such character
+        found[points[start:end]] = False
+    return found
+
+
+@cache
+def other_classes() -> dict[int, str]:
+    """For each character that the library's tables class otherwise than those of `regex`, one that both class as the library does."""
+    every = "".join(chr(point) if not 0xD800 <= point < 0xE000 else " " for point in range(0x110000))
+    here, there = [], []
+    for name in ("L", "N"):
+        own = np.zeros(0x110000, dtype=bool)
+        for match in regex.finditer(rf"\p{{{name}}}+", every):
+            own[match.start() : match.end()] = True
+        here.append(own)
+        there.append(library_class(name))
+    odd = np.flatnonzero((here[0] != there[0]) | (here[1] != there[1]))
+    return {int(point): STANDS_FOR[bool(there[0][point]), bool(there[1][point])] for point in odd}
+
+
 class HeapMergeCounter:
-    """Counts the tokens of texts under a byte-level BPE tokenizer file with a splitting pattern."""
+    """Counts the tokens of texts under a byte-level BPE tokenizer file with a splitting pattern; `others` are its `other_classes`."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, others: dict[int, str]):
         spec = json.loads(definition)
         model = spec["model"]
         if model["type"] != "BPE" or model.get("continuing_subword_prefix") or model.get("byte_fallback"):
@@ -60,6 +96,8 @@ class HeapMergeCounter:
         self.specials = regex.compile("|".join(map(regex.escape, specials))) if specials else None
         self.normal_forms, self.lower = self._normalizers(spec.get("normalizer"))
         self.words = self._pattern(spec["pre_tokenizer"])
+        self.others = others
+        self.odd = re.compile("[" + "".join(rf"\U{point:08x}" for point in self.others) + "]" if self.others else r"(?!)")
         #: Counts of pieces (bytes, as they stand in the text) and of words (strings, normalised).
         self.known: dict[bytes | str, int] = {}
 
@@ -126,7 +164,7 @@ class HeapMergeCounter:
             # Character by character: a whole string would turn a final capital sigma into another letter.
             text = text.lower() if "Σ" not in text else "".join(map(str.lower, text))
         total = 0
-        for word in self.words.findall(text):
+        for word in self.words.findall(text) if text.isascii() or not self.odd.search(text) else self._odd_words(text):
             count = self.known.get(word)
             if count is None:
                 count = self.word(word)
@@ -134,6 +172,10 @@ class HeapMergeCounter:
             total += count
         return total
 
+    def _odd_words(self, text: str) -> list[str]:
+        """The words of a text with characters that the library classes otherwise."""
+        return [text[match.start() : match.end()] for match in self.words.finditer(text.translate(self.others))]
+
     def _keep(self, key: bytes | str, count: int) -> None:
         if len(key) <= LONGEST_CACHED:
             if len(self.known) >= CACHE_SIZE:
@@ -162,15 +204,16 @@ class HeapMergeCounter:
 def token_count(docs: DataFrame, text: str, tokenizer_path: str) -> Column:
     """Column of the number of tokens of a text column; a null is the empty text, which has none.
 
-    The tokenizer file is read by the driver and its content, a few MB whatever the data, goes to the workers.
+    The tokenizer file is read by the driver and its content, a few MB whatever the data, goes to the workers, and so does what the
+    library's tables of characters have otherwise.
     """
     spark = docs.sparkSession
     ship_code(spark)
-    definition = spark.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))
+    definition = spark.sparkContext.broadcast((Path(tokenizer_path).read_text(encoding="utf-8"), other_classes()))
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = once_per_worker(("heap-merge", tokenizer_path), lambda: HeapMergeCounter(definition.value))
+        counter = once_per_worker(("heap-merge", tokenizer_path), lambda: HeapMergeCounter(*definition.value))
         for batch in batches:
             yield pd.Series([counter.count(text) for text in texts(batch)], dtype="int64")
 
