@@ -40,4 +40,4 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if state == before or not state["n"]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = state
-        edges = stage(_small_star(_large_star(edges)), "edges")
+        edges = stage(_small_star(_large_star(edges)), "edges", edges)
