@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from basketmill.llm import packing, quality, simhash, toxicity
 from basketmill.llm.common import read_table
 from basketmill.llm.queries import WORD_TOKENIZER
-from basketmill.operators.staging import stage
+from basketmill.operators.staging import stage, staging_job
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 TOXIC_FROM = 0.5
 GOOD_FROM = 0.7
+#: Number of a row, under a name that no input has.
+ROW = "_pipeline_row"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,27 +41,28 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id.
+    """Of each group of near duplicates the row with the smallest doc_id; of several with that id, the one whose text's hash is least.
 
-    Rows that share an id are one document: of a kept id the row with the least text stays. Rows without an id can't be
-    named as anyone's copy and stay. Empty texts are copies of one another. Other columns pass through.
+    Groups are of rows, so that rows which share an id but not a text are told apart, and rows without an id are in groups like any
+    others, where they come last. Of equal rows one stays. Empty and null texts are copies of one another. Other columns pass through.
+    No documents give none.
     """
-    groups = simhash.near_duplicates(docs)
-    firsts = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    firsts = stage(firsts, "first-documents")
-    # A merge join at every size: the ids grow with the documents.
-    kept = docs.join(firsts.select("doc_id").hint("merge"), "doc_id", "left_semi")
-    if firsts.filter("n > 1").limit(1).count():
-        repeated = firsts.filter("n > 1").select("doc_id")
-        least = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
-        least = least.agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("row"))
-        least = least.select("doc_id", "row.*").select(docs.columns)
-        kept = kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(least)
-    return kept.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    # Written, so that a row has the same number in all that follows.
+    rows = stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered-documents")
+    groups = simhash.near_duplicates(rows, doc_id=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    order = rows.select(ROW, F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), ROW).alias("place"))
+    firsts = groups.join(order, ROW).groupBy("component_id").agg(F.min("place").alias("first"))
+    # At no size by broadcast, as the numbers grow with the documents, and without sorting texts.
+    kept = firsts.select(f"first.{ROW}").hint("shuffle_hash")
+    return rows.join(kept, ROW, "left_semi").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token pieces in sequences of 2048."""
+    """The documents' token pieces in sequences of 2048.
+
+    A null or empty text is the token that ends a document. Repeated rows and ids are packed each, null ids stay null, equal lengths are placed in
+    the order of packing's ranks, other columns are ignored, and no documents give no piece.
+    """
     return packing.pack_documents(docs, WORD_TOKENIZER)
 
 
@@ -75,8 +78,9 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents in a folder; each one's result is written and read again."""
+    """All stages over the documents in a folder; each one's result is written and read again, and removed once the next one is."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        with staging_job(spark) as job:
+            docs = job.keep(stage(step(spark, docs, sf_dir), name.replace(" ", "-"), docs))
     return docs
