@@ -583,9 +583,15 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unconfirme
     sums = sums.agg(*(F.sum(name).alias(name) for name in names))
     rows = rows.join(sums, "number")
     logits = [F.col(name) / F.sqrt(2 * F.size("tokens")) + float(bias) for name, bias in zip(names, model.family_bias, strict=True)]
-    rows = rows.withColumn("logits", F.array(*logits)).drop(*names).withColumn("top", F.array_max("logits"))
-    total = F.aggregate(F.transform("logits", lambda one: F.exp(one - F.col("top"))), F.lit(0.0), lambda total, one: total + one)
-    rows = rows.withColumns({"probability": 1 / total, "class": F.array_position("logits", F.col("top")).cast("int")})
+
+    def most_likely(logits: Column) -> Column:
+        return _with(F.array_max(logits), lambda top: likelihood(logits, top))
+
+    def likelihood(logits: Column, top: Column) -> Column:
+        total = F.aggregate(F.transform(logits, lambda one: F.exp(one - top)), F.lit(0.0), lambda total, one: total + one)
+        return F.struct((1 / total).alias("probability"), F.array_position(logits, top).cast("int").alias("class"))
+
+    rows = rows.withColumn("guess", _with(F.array(*logits), most_likely)).drop(*names).select("*", "guess.*").drop("guess")
     rows = rows.filter((F.col("class") < len(FAMILIES)) & (F.col("probability") >= ACCEPT))
     known = F.get(_constant(templates, "array<array<array<string>>>"), F.col("class") - 1)
     own = F.get(_constant(list(own_ngrams().values()), "array<array<string>>"), F.col("class") - 1)
