@@ -11,7 +11,6 @@ Words recur, so each Python worker keeps the counts of the pieces of text betwee
 from __future__ import annotations
 
 import json
-import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -88,16 +87,20 @@ class HeapMergeCounter:
         symbols = byte_symbols()
         self.inner = [vocabulary[symbols[byte]] for byte in range(256)]
         self.final = [vocabulary[symbols[byte] + suffix] for byte in range(256)]
-        self.merges: dict[int, tuple[int, int]] = {}
+        #: The rank of each pair that merges, and what the pair of each rank becomes.
+        self.ranks: dict[int, int] = {}
+        self.made: list[int] = []
         for rank, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self.merges[vocabulary[left] << ID_BITS | vocabulary[right]] = (rank, vocabulary[left + right])
+            self.ranks[vocabulary[left] << ID_BITS | vocabulary[right]] = rank
+            self.made.append(vocabulary[left + right])
         specials = [token["content"] for token in spec.get("added_tokens", [])]
         self.specials = regex.compile("|".join(map(regex.escape, specials))) if specials else None
         self.normal_forms, self.lower = self._normalizers(spec.get("normalizer"))
         self.words = self._pattern(spec["pre_tokenizer"])
         self.others = others
-        self.odd = re.compile("[" + "".join(rf"\U{point:08x}" for point in self.others) + "]" if self.others else r"(?!)")
+        #: Looked up character by character; a pattern of them all would try those beyond 16 bits one after the other.
+        self.odd = frozenset(map(chr, others))
         #: Counts of pieces (bytes, as they stand in the text) and of words (strings, normalised).
         self.known: dict[bytes | str, int] = {}
 
@@ -120,34 +123,36 @@ class HeapMergeCounter:
 
     def merged(self, ids: list[int]) -> int:
         """The number of merges that a word's symbols go through."""
-        merges = self.merges
+        rank_of = self.ranks.get
+        end = len(ids)
+        # A heap of whole numbers: the rank, then the place.
         heap = [
-            (found[0], at, pair)
-            for at, pair in enumerate(left << ID_BITS | right for left, right in pairwise(ids))
-            if (found := merges.get(pair))
+            rank * end + at
+            for at, (left, right) in enumerate(pairwise(ids))
+            if (rank := rank_of(left << ID_BITS | right)) is not None
         ]
         if not heap:
             return 0
         heapify(heap)
-        end = len(ids)
         after = list(range(1, end + 1))
         before = list(range(-1, end - 1))
         done = 0
         while heap:
-            _, at, pair = heappop(heap)
+            rank, at = divmod(heappop(heap), end)
             right = after[at]
-            if right >= end or ids[at] < 0 or ids[at] << ID_BITS | ids[right] != pair:
-                continue  # one of the two symbols has been merged since
-            ids[at] = made = merges[pair][1]
+            # One of the two symbols may have been merged since; a merged one is -1, which no pair has.
+            if right >= end or rank_of(ids[at] << ID_BITS | ids[right]) != rank:
+                continue
+            ids[at] = made = self.made[rank]
             ids[right] = -1
             done += 1
             after[at] = beyond = after[right]
             if beyond < end:
                 before[beyond] = at
-                if found := merges.get(pair := made << ID_BITS | ids[beyond]):
-                    heappush(heap, (found[0], at, pair))
-            if (left := before[at]) >= 0 and (found := merges.get(pair := ids[left] << ID_BITS | made)):
-                heappush(heap, (found[0], left, pair))
+                if (rank := rank_of(made << ID_BITS | ids[beyond])) is not None:
+                    heappush(heap, rank * end + at)
+            if (left := before[at]) >= 0 and (rank := rank_of(ids[left] << ID_BITS | made)) is not None:
+                heappush(heap, rank * end + left)
         return done
 
     def word(self, word: str) -> int:
@@ -164,7 +169,7 @@ class HeapMergeCounter:
             # Character by character: a whole string would turn a final capital sigma into another letter.
             text = text.lower() if "Σ" not in text else "".join(map(str.lower, text))
         total = 0
-        for word in self.words.findall(text) if text.isascii() or not self.odd.search(text) else self._odd_words(text):
+        for word in self.words.findall(text) if text.isascii() or self.odd.isdisjoint(text) else self._odd_words(text):
             count = self.known.get(word)
             if count is None:
                 count = self.word(word)

@@ -102,6 +102,27 @@ def test_token_counts_of_rare_characters():
         assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids), text
 
 
+def test_rare_characters_cost_little():
+    """Looking for characters that the library classes differently takes no longer than counting does."""
+    from pathlib import Path
+    from time import process_time
+
+    definition = Path(queries.WORD_TOKENIZER).read_text(encoding="utf-8")
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdeinorstuáéíóúñ", k=8)) + "ó" for _ in range(4000)]
+
+    def seconds(others):
+        counter = token_count.HeapMergeCounter(definition, others)
+        started = process_time()
+        counts = [counter.count(word) for word in words]
+        return counts, process_time() - started
+
+    expected, without = seconds({})
+    found, taken = seconds(token_count.other_classes())
+    assert found == expected
+    assert taken < 2.5 * without
+
+
 def held_out_rate(rows, truth, positive):
     known = [(row["predicted"], truth[row["doc_id"]]) for row in rows if row["held_out"] and row["doc_id"] in truth]
     hits = [one == positive for one, label in known if label == positive]
