@@ -31,6 +31,7 @@ MONTH_NUMBERS = {name: number for number, name in enumerate(MONTHS, 1)} | _SHORT
 _DAY_NAME = r"^(?:[A-Za-z]{3,9},? )?"
 _NAMED_DATES = (_DAY_NAME + r"(\d{1,2})[ -]([A-Za-z]{3,9})\.?[ ,-]+(\d{4})", _DAY_NAME + r"([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4})")
 _HALF_DAY = r"[AaPp]\.?[Mm]\.?"
+_MARK = "\u0001"
 _TWELVE = rf"^(\S+)[T ]\s*(0?[1-9]|1[0-2])(:\d{{2}}(?::\d{{2}}(?:\.\d{{1,6}})?)?)\s*({_HALF_DAY})$"
 
 
@@ -87,12 +88,14 @@ def parse_invoice_ts(text: Column, date_format: DateFormat = DateFormat()) -> Co
     """A date with or without a time as a zone-free timestamp; NULL if it isn't one in the format."""
     text = F.trim(text)
     iso = _iso_named(text) if date_format.order == NAMED else _iso_numbers(text, date_format)
-    if date_format.twelve_hours:
-        hour = F.regexp_extract(iso, _TWELVE, 2).try_cast("int") % 12
-        late = F.lower(F.substring(F.regexp_extract(iso, _TWELVE, 4), 1, 1)) == "p"
-        clock = F.concat((hour + F.when(late, 12).otherwise(0)).cast("string"), F.regexp_extract(iso, _TWELVE, 3))
-        iso = F.when(iso.rlike(_TWELVE), F.concat(F.regexp_extract(iso, _TWELVE, 1), F.lit(" "), clock))
-    return iso.try_cast("timestamp_ntz")
+    if not date_format.twelve_hours:
+        return iso.try_cast("timestamp_ntz")
+    # The half of the day behind a mark, for which a text has another control character; without a branch, so that the pattern is looked for once.
+    marked = F.regexp_replace(F.translate(iso, _MARK, "\u0002"), _TWELVE, f"$1 $2$3{_MARK}$4")
+    clock = F.substring_index(marked, _MARK, 1).try_cast("timestamp_ntz")
+    half = F.try_element_at(F.split(marked, _MARK), F.lit(2))
+    late = (F.lower(F.substring(half, 1, 1)) == "p").cast("int")
+    return F.timestamp_add("HOUR", 12 * (late - (F.hour(clock) == 12).cast("int")), clock)
 
 
 def mean_month_offset(cohort_month: Column, activity_month: Column) -> Column:

@@ -43,7 +43,7 @@ def with_invoice_ts(raw: DataFrame, on_bad_date: str = "raise", format_: DateFor
     ts = parse_invoice_ts(text, format_)
     if on_bad_date == "raise":
         failure = F.raise_error(F.concat(F.lit("not a date: "), text)).cast("timestamp_ntz")
-        ts = F.when(text.isNull() | ts.isNotNull(), ts).otherwise(failure)
+        ts = F.coalesce(ts, F.when(text.isNotNull(), failure))  # the date is parsed in one place
     return raw.withColumn("invoice_ts", ts)
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketmill.functions.text import null_if_missing
+from basketmill.functions.text import MISSING_TEXTS, null_if_missing
 from basketmill.schema import FILE_COLUMNS, RAW_SCHEMA
 from basketmill.sources.records import read_records
 
@@ -32,6 +35,11 @@ SCIENTIFIC = r"^\s*[+-]?(?:\d+\.?(\d*)|\.(\d+))[eE]([+-]?\d{1,3})\s*$"
 END = "\u0001"
 
 
+def _common(name: str) -> str:
+    """Pattern of nearly all numbers of a column; all of them are in range."""
+    return rf"[+-]?\d{{1,8}}(?:\.\d{{0,{DECIMALS[name]}}}0{{0,8}})?"
+
+
 def _number_problem(name: str) -> Column:
     """What keeps a column's text from being exactly a number of its type; NULL if nothing does."""
     text = null_if_missing(F.col(name))
@@ -43,26 +51,47 @@ def _number_problem(name: str) -> Column:
     written = F.length(F.concat(F.regexp_extract(text, SCIENTIFIC, 1), F.regexp_extract(text, SCIENTIFIC, 2)))
     fits = written - F.regexp_extract(text, SCIENTIFIC, 3).try_cast("int") <= 18
     exact = F.when(plain, text.rlike(rf"^\s*[+-]?\d*\.?\d{{0,{decimals}}}0*\s*$")).otherwise(fits & (value == wide))
-    # Nearly every number is of this kind, which one look tells.
-    common = text.rlike(rf"^[+-]?\d{{1,8}}\.?\d{{0,{decimals}}}0{{0,8}}$")
+    common = text.rlike(rf"^{_common(name)}\z")
     fine = TOO_FINE if decimals else NOT_WHOLE
     problem = (
         F.when(~plain & ~scientific, NO_NUMBER)
         .when(~F.coalesce(exact, F.lit(False)), fine)
         .when(value.isNull(), TOO_LARGE)
     )
-    in_range = common if decimals else common & value.isNotNull()
-    return F.when(text.isNotNull() & ~F.coalesce(in_range, F.lit(False)), F.concat(problem, F.lit(f" in {name}")))
+    return F.when(text.isNotNull() & ~F.coalesce(common, F.lit(False)), F.concat(problem, F.lit(f" in {name}")))
 
 
-def parse_files(spark: SparkSession, path: str, encoding: str = ENCODING) -> DataFrame:
-    """The columns of the header as text, the record as it is written, and the first problem with it.
+def _plain(header: list[str]) -> str:
+    """Pattern of records that surely have no problem: the header's number of fields, and common numbers in their places."""
+    end = r"(?=,|\z)"
+    missing = "|".join(map(re.escape, MISSING_TEXTS))
+    fields = []
+    for name in header:
+        if name in DECIMALS:
+            number = rf"(?:{_common(name)}|{missing})"
+            fields.append(rf'(?:{number}{end}|"{number}"{end})')
+        else:
+            fields.append(rf'(?:"[^"]*+(?:""[^"]*+)*+"{end}|[^",]*+{end})')
+    return rf"^{','.join(fields)}\z"
 
-    Both `lines_of` and `odd_lines_of` take it, so that files are looked through for torn records once.
-    """
+
+@dataclass(frozen=True)
+class Files:
+    """The names in the header, and a frame of the other records in the column `record`."""
+
+    header: list[str]
+    records: DataFrame
+
+
+def find_records(spark: SparkSession, path: str, encoding: str = ENCODING) -> Files:
+    """Records of files. Both `lines_of` and `odd_lines_of` take them, so that files are looked through for torn records once."""
     records = read_records(spark, path, encoding)
     reader = spark.read.option("header", True).option("encoding", encoding).option("escape", '"')
-    header = reader.csv(path).schema.names
+    return Files(reader.csv(path).schema.names, records.frame)
+
+
+def _parsed(header: list[str], records: DataFrame) -> DataFrame:
+    """The columns of the header as text, the record as it is written, and the first problem with it."""
     options = {"escape": '"', "columnNameOfCorruptRecord": RECORD}
 
     def as_struct(record: Column, names: list[str]) -> Column:
@@ -70,7 +99,7 @@ def parse_files(spark: SparkSession, path: str, encoding: str = ENCODING) -> Dat
         return F.from_csv(record, ", ".join(quoted), options)
 
     # The parser itself tells records that have another number of fields than the header.
-    found = records.frame.select("record", as_struct(F.col("record"), [*header, RECORD]).alias("fields"))
+    found = records.select("record", as_struct(F.col("record"), [*header, RECORD]).alias("fields"))
     found = found.select("fields.*", F.col("record").alias("_text"))
     # And of those, whether the end that is put behind them comes among the header's columns.
     places = [f"c{at}" for at in range(len(header) + 1)]
@@ -94,13 +123,13 @@ def _typed(name: str) -> Column:
 
 
 def lines_of(
-    lines: DataFrame,
+    files: Files,
     strict: bool = False,
     on_extra_fields: str = "raise",
     on_fine_price: str = "raise",
     on_bad_number: str = "raise",
 ) -> DataFrame:
-    """Raw lines of one or more CSV files with a header row, from what `parse_files` gives.
+    """Raw lines of one or more CSV files with a header row, from what `find_records` gives.
 
     Columns are found by name, whatever their order; files whose headers differ are refused. Columns beside the known ones follow
     as text, under the name they have in the file, with "_in_file" behind one that a known column has inside the engine.
@@ -111,6 +140,7 @@ def lines_of(
     with another one fails the job or is left out with `on_bad_number="reject"`, and `on_fine_price="round"` rounds finer prices.
     `odd_lines` lists all such lines. This holds whichever columns are selected later.
     """
+    lines = _parsed(files.header, files.records)
     problem = F.col(PROBLEM)
     if on_fine_price == "round":
         problem = F.when(~problem.startswith(TOO_FINE), problem)
@@ -141,17 +171,22 @@ def left_out(on_extra_fields: str = "raise", on_fine_price: str = "raise", on_ba
     return found | bad_number if on_bad_number == "reject" else found
 
 
-def odd_lines_of(lines: DataFrame) -> DataFrame:
-    """(problem, record) of the lines that have more or fewer fields than the header, or a number that isn't kept exactly."""
+def odd_lines_of(files: Files) -> DataFrame:
+    """(problem, record) of the lines that have more or fewer fields than the header, or a number that isn't kept exactly.
+
+    One look at a record tells of nearly all that they are none of these; the parser decides on the others.
+    """
+    plain = F.col("record").rlike(_plain(files.header)) & ~F.contains("record", F.lit("\0"))
+    lines = _parsed(files.header, files.records.filter(~plain))
     odd = lines.filter(F.col(PROBLEM).isNotNull() & (F.col(READ) >= 0))
     return odd.select(F.col(PROBLEM).alias("problem"), F.col("_text").alias("record"))
 
 
 def read_invoice_csv(spark: SparkSession, path: str, encoding: str = ENCODING, **options) -> DataFrame:
     """`lines_of` files."""
-    return lines_of(parse_files(spark, path, encoding), **options)
+    return lines_of(find_records(spark, path, encoding), **options)
 
 
 def odd_lines(spark: SparkSession, path: str, encoding: str = ENCODING) -> DataFrame:
     """`odd_lines_of` files."""
-    return odd_lines_of(parse_files(spark, path, encoding))
+    return odd_lines_of(find_records(spark, path, encoding))

@@ -16,11 +16,13 @@ from basketmill.operators.staging import stage, unstage
 
 #: What ends a quoted field that has begun: its text with doubled quotes, the quote, and what is left before the comma.
 _QUOTED_REST = r'[^"]*+(?:""[^"]*+)*+"[^,]*+'
-#: A field that begins and ends in the line; a quote mark counts only where it is a field's first character.
-_FIELD = rf'(?:"{_QUOTED_REST}|[^",][^,]*+|)'
-_MORE_FIELDS = rf"(?:,{_FIELD})*+\z"
-ENDS_CLOSED = rf"^{_FIELD}{_MORE_FIELDS}"
-CLOSES = rf"^{_QUOTED_REST}{_MORE_FIELDS}"
+#: Fields that begin and end in the line. A quote mark counts only where it is a field's first character, so that what has none is passed
+#: over at once, whatever fields it is.
+_FIELDS = rf'(?:[^"]*+(?:(?<![^,])"{_QUOTED_REST}|(?<=[^,])"[^,]*+))*+[^"]*+\z'
+ENDS_CLOSED = rf"^{_FIELDS}"
+CLOSES = rf"^{_QUOTED_REST}{_FIELDS}"
+#: Torn files by name up to this number: files are then left out before they are read.
+FEW_FILES = 1000
 
 
 @dataclass(frozen=True)
@@ -74,12 +76,17 @@ def read_records(spark: SparkSession, path: str, encoding: str) -> Records:
         if refused:
             raise ValueError(f"{refused['file']}: {message}")
     torn = files.filter("open_lines > 0").select("file")
-    if not torn.limit(1).count():
+    names = [row["file"] for row in torn.limit(FEW_FILES + 1).collect()]
+    if not names:
         unstage(files)
         return Records(header, _filled(lines.filter(~is_header).select(F.col("line").alias("record"))))
-    whole = lines.join(torn, "file", "left_anti").filter(~is_header).select(F.col("line").alias("record"))
-    rejoined = _rejoined(lines.join(torn, "file", "left_semi").filter(~is_header))
-    return Records(header, _filled(whole.unionByName(rejoined)))
+    if len(names) <= FEW_FILES:
+        in_torn = F.col("file").isin(names)
+        whole, others = lines.filter(~in_torn), lines.filter(in_torn)
+    else:
+        whole, others = lines.join(torn, "file", "left_anti"), lines.join(torn, "file", "left_semi")
+    rejoined = _rejoined(others.filter(~is_header))
+    return Records(header, _filled(whole.filter(~is_header).select(F.col("line").alias("record")).unionByName(rejoined)))
 
 
 def _filled(records: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from basketmill.schema import (
     RESULT_ORDER,
     RESULT_PREFIX,
 )
-from basketmill.sources.files import ENCODING, left_out, lines_of, odd_lines_of, parse_files
+from basketmill.sources.files import ENCODING, find_records, left_out, lines_of, odd_lines_of
 from basketmill.sources.lines import FrameSource, LineSource
 from basketmill.sources.stored import CUSTOMER_MONTH, StoredSource
 
@@ -141,10 +141,10 @@ class Warehouse:
     def build_ods(self, csv_path: str, encoding: str = ENCODING, **options) -> int:
         """Load invoice-line files into the raw table; lines that options leave out go to a table of their own, with what is wrong."""
         with staging_job(self.spark):
-            parsed = parse_files(self.spark, csv_path, encoding)
+            files = find_records(self.spark, csv_path, encoding)
             if "reject" in options.values():
-                self.write(odd_lines_of(parsed).filter(left_out(**options)), REJECT_TABLE)
-            return self.write(lines_of(parsed, **options), RAW_TABLE)
+                self.write(odd_lines_of(files).filter(left_out(**options)), REJECT_TABLE)
+            return self.write(lines_of(files, **options), RAW_TABLE)
 
     def build_dwd(self, on_bad_date: str = "raise", dedup: bool = False, by_month: bool = False, sums: bool = True) -> int:
         """Clean the raw table into the detail table and store the sums that jobs start from, unless only lines are asked for.

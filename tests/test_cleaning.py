@@ -17,6 +17,7 @@ from basketmill.functions.calendar import DateFormat, date_format_of, parse_invo
 from basketmill.functions.text import MISSING_TEXTS, normalise_product, null_if_missing
 from basketmill.operators.cleaning import bad_date_lines, clean_lines, date_format
 from basketmill.schema import DETAIL_SCHEMA, RAW_SCHEMA
+from basketmill.sources import files, records
 from basketmill.sources.files import odd_lines, read_invoice_csv
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
@@ -262,6 +263,55 @@ def test_nothing_is_cut_or_rounded_silently(spark, tmp_path, line, problem):
     assert sorted(row["invoice_no"] for row in kept.collect()) == ["536365", "C536367"]
 
 
+def test_long_prices_are_out_of_range(spark, tmp_path):
+    """Digits beyond the eighth before the point, without a point, are no decimals."""
+    line = "1,S,cup,6,1/2/2011 8:26,123456781234,17850,UK"
+    path = csv(tmp_path, [LINES[0], line])
+    assert rows(odd_lines(spark, path)) == [("a number out of range in UnitPrice", line)]
+    assert read_invoice_csv(spark, path, on_bad_number="reject").count() == 1
+
+
+def test_only_records_that_may_be_odd_are_parsed_for_odd_lines(spark, tmp_path):
+    plan = odd_lines(spark, csv(tmp_path, LINES))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan.split("from_csv")[-1]  # the scan's side
+
+
+def test_plain_records_have_no_problem(spark):
+    rng = random.Random(5)
+    header = HEADER.strip().split(",")
+    odd = ['"', ",", "", "a", '"a"', '""', '"a""b, c"', '"a"b', 'a"b"', "NA", "6", '"6.0"', "6.00", "1.23456", "+7", "-1.#IND", "1e3", "\t", "\0", "\\", '"\\"']
+    odd += [" 6", "123456789", "12345678", "12345678.1234", "123456781234", "6.", ".5", "#x", '"\n"', "\u00a0"]
+    drawn = {",".join(rng.choices(odd, k=rng.choice([8, 8, 8, 7, 9]))) for _ in range(4000)}
+    sure = ["1", "S", '"a ""b"", c"', "6.0", "1/2/2011 8:26", "2.50", "NA", "UK"]
+    for _ in range(4000):
+        fields = list(sure)
+        for at in rng.sample(range(8), rng.randint(0, 2)):
+            fields[at] = rng.choice(odd)
+        drawn.add(",".join(fields))
+    frame = spark.createDataFrame([(record,) for record in sorted(drawn) if record.strip()], "record string")
+    plain = F.col("_text").rlike(files._plain(header)) & ~F.contains("_text", F.lit("\0"))
+    found = rows(files._parsed(header, frame).select(plain, files.PROBLEM, "_text"))
+    assert [row for row in found if row[0] and row[1]] == []
+    assert sum(row[0] for row in found) > 500
+
+
+@pytest.mark.parametrize("half", ["AM", "pm", "P.M."])
+def test_hours_of_half_days(spark, half):
+    late = 12 * half.lower().startswith("p")
+    texts = [f"1/2/2011 {hour}:05:09 {half}" for hour in range(14)] + [f"1/2/2011 08:05:09{half}", "1/2/2011 8:05:09", f"1/2/2011\u00018:05 {half}", "1/2/2011 8:05:09\u0001p"]
+    expected = [None if hour in (0, 13) else datetime(2011, 1, 2, hour % 12 + late, 5, 9) for hour in range(14)]
+    df = spark.createDataFrame([(at, text) for at, text in enumerate(texts)], "at int, t string")
+    found = df.select("at", parse_invoice_ts(F.col("t"), DateFormat(twelve_hours=True))).orderBy("at")
+    assert [row[1] for row in found.collect()] == [*expected, datetime(2011, 1, 2, 8 + late, 5, 9), None, None, None]
+
+
+def test_patterns_of_dates_are_few(spark, tmp_path):
+    """The pattern of half days is looked for in one place, but for what the engine finds to be the same."""
+    raw = read_invoice_csv(spark, csv(tmp_path, LINES))
+    plan = clean_lines(raw, format_=DateFormat(twelve_hours=True))._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("0?[1-9]|1[0-2]") <= 4
+
+
 def test_numbers_as_they_may_be_written(spark, tmp_path):
     path = csv(tmp_path, ["1,S,cup, +6. ,1/2/2011 8:26,.5,1.785e4,UK", "2,S,cup,6e0,1/2/2011 8:26,25000E-4,17850.000,UK"])
     found = read_invoice_csv(spark, path).orderBy("invoice_no").select("quantity", "unit_price", "customer_id")
@@ -307,6 +357,18 @@ def test_quoted_line_breaks_in_split_files(spark, tmp_path, small_parts):
     assert raw.count() == len(expected) and odd_lines(spark, str(tmp_path)).count() == 0
 
 
+def test_few_torn_files_are_left_out_by_name(spark, tmp_path, monkeypatch):
+    """Whole files and torn ones are told apart before they are read, and by a join where there are very many."""
+    (tmp_path / "whole.csv").write_text(HEADER + "1,S,cup,6,1/2/2011 8:26,2.5,1,UK\n")
+    (tmp_path / "torn.csv").write_text(HEADER + '2,S,"a\nb",6,1/2/2011 8:26,2.5,1,UK\n')
+    for few in (records.FEW_FILES, 0):
+        monkeypatch.setattr("basketmill.sources.records.FEW_FILES", few)
+        raw = read_invoice_csv(spark, str(tmp_path))
+        assert sorted(rows(raw.select("invoice_no", "description"))) == [("1", "cup"), ("2", "a\nb")]
+        # The other join is that of the parts of torn files.
+        assert ("LeftAnti" in raw._jdf.queryExecution().optimizedPlan().toString()) == (few == 0)
+
+
 def test_headers_of_all_files_are_checked(spark, tmp_path):
     (tmp_path / "a.csv").write_text(HEADER + LINES[0] + "\n" + HEADER + LINES[0] + "\n")
     with pytest.raises(ValueError, match="header is repeated"):
