@@ -4,8 +4,8 @@ A word's symbols form a doubly linked list. A heap holds every adjacent pair tha
 rank; the pair of lowest rank (leftmost among equals) is popped again and again and its two symbols
 become one. The word's count is its number of symbols at first minus the number of merges.
 
-Words recur, so each Python worker keeps the counts of the pieces of text between white space that it has met, up to
-`CACHE_SIZE` of them; the count of a text does not depend on that.
+Words recur, so each Python worker keeps the counts of the more recent pieces of text between white space, in small letters; those of
+letters and punctuation at their end are added up from the two. The count of a text does not depend on that.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from functools import cache
 from heapq import heapify, heappop, heappush
 from itertools import pairwise
 from pathlib import Path
+from string import ascii_lowercase
 
 import numpy as np
 import pandas as pd
@@ -24,11 +25,16 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketmill.llm.common import once_per_worker, ship_code, texts
+from basketmill.llm.common import Recent, once_per_worker, ship_code, texts
 
+#: Pieces of text, and words of other ones, whose counts a worker keeps, at most twice as many.
 CACHE_SIZE = 400_000
-LONGEST_CACHED = 64
+WORDS_KEPT = 50_000
 ID_BITS = 20
+#: Punctuation at the end of a piece that is looked up apart from the letters before it.
+ENDS = ".,;:!?%$&*#"
+#: Letters before this one have no other normal form.
+LATIN_END = "\u0250"
 
 
 def byte_symbols() -> dict[int, str]:
@@ -74,6 +80,26 @@ def other_classes() -> dict[int, str]:
     return {int(point): STANDS_FOR[bool(there[0][point]), bool(there[1][point])] for point in odd}
 
 
+@cache
+def late_marks() -> list[bytes]:
+    """Marks that become one character with a small letter of ASCII but not with its capital."""
+
+    def composed(text: str) -> str:
+        return unicodedata.normalize("NFC", text).lower()
+
+    marks = [mark for mark in map(chr, range(0x110000)) if unicodedata.combining(mark)]
+    return [mark.encode() for mark in marks if any(composed(a.upper() + mark) != composed(a + mark) for a in ascii_lowercase)]
+
+
+def small_letters(text: str, specials: list[bytes]) -> bytes:
+    """A text as UTF-8, with A-Z in small letters unless that would change what normal forms and small letters make of it, or make a special string."""
+    data = text.encode("utf-8", "surrogatepass")
+    if not text.isascii() and any(mark in data for mark in late_marks()):
+        return data
+    small = data.lower()
+    return data if any(special in small for special in specials) else small
+
+
 class HeapMergeCounter:
     """Counts the tokens of texts under a byte-level BPE tokenizer file with a splitting pattern; `others` are its `other_classes`."""
 
@@ -96,13 +122,17 @@ class HeapMergeCounter:
             self.made.append(vocabulary[left + right])
         specials = [token["content"] for token in spec.get("added_tokens", [])]
         self.specials = regex.compile("|".join(map(regex.escape, specials))) if specials else None
+        self.special_bytes = [special.encode() for special in specials]
         self.normal_forms, self.lower = self._normalizers(spec.get("normalizer"))
         self.words = self._pattern(spec["pre_tokenizer"])
         self.others = others
         #: Looked up character by character; a pattern of them all would try those beyond 16 bits one after the other.
         self.odd = frozenset(map(chr, others))
-        #: Counts of pieces (bytes, as they stand in the text) and of words (strings, normalised).
-        self.known: dict[bytes | str, int] = {}
+        #: Letters before this one are kept together by the pattern, and apart from `ENDS`.
+        self.plain_end = self._plain_end(specials)
+        #: Counts of pieces, as they stand in the text or in small letters, and of normalised words of those that are not plain.
+        self.known = Recent(self.make, CACHE_SIZE)
+        self.word_counts = Recent(self.word, WORDS_KEPT)
 
     @staticmethod
     def _normalizers(spec: dict | None) -> tuple[list[str], bool]:
@@ -121,6 +151,13 @@ class HeapMergeCounter:
                 return regex.compile(step["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         raise ValueError("a pre-tokenizer that keeps what a pattern matches and drops white space is needed")
 
+    def _plain_end(self, specials: list[str]) -> str:
+        end = min({LATIN_END, *self.odd}) if set(self.normal_forms) <= {"NFC"} else "\x80"
+        letters = [letter for letter in map(chr, range(ord(end))) if letter.isalpha()]
+        runs = ["".join(letters), *letters]
+        kept = all(self.words.findall(run + mark) == [run, mark] for run in runs for mark in (ENDS, *ENDS))
+        return "" if any(all(c.isalpha() or c in ENDS for c in special) for special in specials) or not kept else end
+
     def merged(self, ids: list[int]) -> int:
         """The number of merges that a word's symbols go through."""
         rank_of = self.ranks.get
@@ -168,42 +205,34 @@ class HeapMergeCounter:
         if self.lower:
             # Character by character: a whole string would turn a final capital sigma into another letter.
             text = text.lower() if "Σ" not in text else "".join(map(str.lower, text))
-        total = 0
-        for word in self.words.findall(text) if text.isascii() or self.odd.isdisjoint(text) else self._odd_words(text):
-            count = self.known.get(word)
-            if count is None:
-                count = self.word(word)
-                self._keep(word, count)
-            total += count
-        return total
+        words = self.words.findall(text) if text.isascii() or self.odd.isdisjoint(text) else self._odd_words(text)
+        return sum(map(self.word_counts.__getitem__, words))
 
     def _odd_words(self, text: str) -> list[str]:
         """The words of a text with characters that the library classes otherwise."""
         return [text[match.start() : match.end()] for match in self.words.finditer(text.translate(self.others))]
 
-    def _keep(self, key: bytes | str, count: int) -> None:
-        if len(key) <= LONGEST_CACHED:
-            if len(self.known) >= CACHE_SIZE:
-                self.known.clear()
-            self.known[key] = count
-
     def piece(self, text: str) -> int:
         """Tokens of a piece of text; special strings count as one token each, as the library's default has it."""
         if self.specials is None or not (found := len(self.specials.findall(text))):
             return self._plain(text)
         return found + sum(map(self._plain, self.specials.split(text)))
 
+    def make(self, piece: bytes) -> int:
+        text = piece.decode("utf-8", "surrogatepass")
+        word = text.rstrip(ENDS)
+        small = word.lower() if self.lower else word
+        if small.isalpha() and max(small) < self.plain_end:
+            if small == text:
+                return self.word(small)
+            ends = text[len(word) :]
+            return self.known[small.encode()] + (self.known[ends.encode()] if ends else 0)
+        return self.piece(text)
+
     def count(self, text: str) -> int:
         # ASCII white space ends every word of the pattern and every special string, so counts add up over it.
-        total = 0
-        get = self.known.get
-        for piece in text.encode("utf-8", "surrogatepass").split():
-            count = get(piece)
-            if count is None:
-                count = self.piece(piece.decode("utf-8", "surrogatepass"))
-                self._keep(piece, count)
-            total += count
-        return total
+        data = small_letters(text, self.special_bytes) if self.lower else text.encode("utf-8", "surrogatepass")
+        return sum(map(self.known.__getitem__, data.split()))
 
 
 def token_count(docs: DataFrame, text: str, tokenizer_path: str) -> Column:

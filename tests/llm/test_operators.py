@@ -123,6 +123,38 @@ def test_rare_characters_cost_little():
     assert taken < 2.5 * without
 
 
+def test_token_counts_of_recurring_words(monkeypatch):
+    """A word is merged once whatever its capitals and the punctuation after it, and common words are not forgotten over rare ones."""
+    from pathlib import Path
+
+    definition = Path(queries.WORD_TOKENIZER).read_text(encoding="utf-8")
+    monkeypatch.setattr(token_count, "CACHE_SIZE", 100)
+    counter = token_count.HeapMergeCounter(definition, token_count.other_classes())
+    merged = []
+    monkeypatch.setattr(counter, "merged", lambda ids, real=counter.merged: merged.append(len(ids)) or real(ids))
+    text = "Überlongword überlongword ÜBERLONGWORD. überlongWord, überlongword! überLONGword?!"
+    assert counter.count(text) == len(ids_of(text))
+    assert merged.count(len("überlongword".encode())) == 1
+    merged.clear()
+    rng = random.Random(4)
+    text = " ".join(" ".join(["commonlongword", *("".join(rng.choices("abcdeinorst", k=8)) for _ in range(10))]) for _ in range(200))
+    assert counter.count(text) == len(ids_of(text))
+    assert merged.count(len("commonlongword")) == 1
+
+
+def test_marks_after_capitals():
+    """Marks that compose with a small letter but not with its capital, and special strings in capitals, against the library."""
+    from pathlib import Path
+
+    counter = token_count.HeapMergeCounter(Path(queries.WORD_TOKENIZER).read_text(encoding="utf-8"), token_count.other_classes())
+    for mark in ("\u0300", "\u0301", "\u0303", "\u0308", "\u030a", "\u030c", "\u0323\u0308", "\u0331", "\u0344"):
+        for letter in "AEHIJKTWYhjtwy":
+            text = f"The {letter}{mark}, x{letter}{mark}Y. É"
+            assert counter.count(text) == len(ids_of(text)), ascii(text)
+    for text in ("A <|ENDOFTEXT|> B", "A <|EndOfText|> <|endoftext|> B", "É<|STARTOFTEXT|><|startoftext|>É"):
+        assert counter.count(text) == len(ids_of(text))
+
+
 def held_out_rate(rows, truth, positive):
     known = [(row["predicted"], truth[row["doc_id"]]) for row in rows if row["held_out"] and row["doc_id"] in truth]
     hits = [one == positive for one, label in known if label == positive]
