@@ -16,25 +16,27 @@ from __future__ import annotations
 import json
 import struct
 import zlib
+from codecs import charmap_decode
 from collections import defaultdict
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from itertools import pairwise
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketmill.llm.common import Recent, once_per_worker, ship_code, texts
-from basketmill.llm.token_count import byte_symbols
+from basketmill.llm.token_count import ENDS, LATIN_END, byte_symbols, small_letters
 from basketmill.operators.staging import stage
 
 #: Pieces of text whose ids a worker keeps, at most twice as many.
-CACHE_SIZE = 250_000
-#: Punctuation at the end of a piece that is looked up apart from the letters before it.
-ENDS = ".,;:!?%$&*#"
-#: Letters before this one have no other normal form.
-LATIN_END = "\u0250"
+CACHE_SIZE = 400_000
+#: Bytes of text whose pieces are looked up together.
+GROUP_BYTES = 8_000_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Positions of `monotonically_increasing_id`: the partition above, the row in it below.
 ROW_BITS = 33
@@ -44,8 +46,9 @@ class IdEncoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers, by the tokenizers library.
 
     For a byte-level BPE tokenizer file that drops white space and keeps runs of letters together. No
-    token spans ASCII white space, so the ids of the pieces between it are looked up here, the more recent ones
-    being kept. A run of small letters goes straight to the library's merging step, other pieces through all of it.
+    token spans ASCII white space, so texts are split there, some MB of them at once, and each piece is looked up
+    once for all its places; the ids of the more recent pieces are kept. A run of small letters goes straight to the
+    library's merging step, other pieces through all of it.
     """
 
     def __init__(self, definition: str):
@@ -60,34 +63,71 @@ class IdEncoder:
         self.lower = any(step["type"] == "Lowercase" for step in normalizers.get("normalizers", [normalizers]))
         self.whole = Tokenizer.from_str(definition)
         self.merging = self.whole.model
-        self.symbols = str.maketrans({chr(byte): symbol for byte, symbol in byte_symbols().items()})
+        self.symbols = "".join(symbol for _, symbol in sorted(byte_symbols().items()))
+        #: Each id as it is returned.
+        self.packed = [_packed([number]) for number in range(1 + max(spec["model"]["vocab"].values()))]
         self.specials = [token["content"].encode() for token in spec.get("added_tokens", [])]
+        self.ends = ENDS.encode()
         self.ids = Recent(self.make, CACHE_SIZE)
 
     def by_library(self, text: str) -> bytes:
         return _packed(self.whole.encode(text, add_special_tokens=False).ids)
 
-    def letters(self, word: str) -> bytes:
-        symbols = word if word.isascii() else word.encode().decode("latin-1").translate(self.symbols)
-        return _packed([token.id for token in self.merging.tokenize(symbols)])
+    def letters(self, word: bytes) -> bytes:
+        symbols = word.decode() if word.isascii() else charmap_decode(word, "strict", self.symbols)[0]
+        packed = self.packed
+        return b"".join([packed[token.id] for token in self.merging.tokenize(symbols)])
 
     def make(self, piece: bytes) -> bytes:
-        text = piece.decode("utf-8", "replace")
-        word = text.rstrip(ENDS)
-        small = word.lower()
-        if small.isalpha() and max(small) < LATIN_END and (self.lower or word == small):
-            if len(word) == len(text):
-                return self.letters(small)
-            return self.ids[word.encode()] + self.ids[text[len(word) :].encode()]
-        return self.by_library(text)
-
-    def encode(self, text: str) -> bytes:
-        data = text.encode("utf-8", "replace")
-        if self.lower:
-            data = data.lower()
-        if any(special in data for special in self.specials):
-            return self.by_library(text)
-        return b"".join(map(self.ids.__getitem__, data.split()))
+        if piece.isalpha() and piece.islower():  # of bytes: a-z alone
+            return self.letters(piece)
+        word = piece.rstrip(self.ends)
+        if word.isalpha():
+            plain, small = True, word.lower()
+        else:
+            text = word.decode().lower()
+            plain, small = text.isalpha() and max(text) < LATIN_END, text.encode()
+        if not plain or not (self.lower or small == word):
+            return self.by_library(piece.decode())
+        if small == piece:
+            return self.letters(small)
+        return self.ids[small] + (self.ids[piece[len(word) :]] if len(word) < len(piece) else b"")
+
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Of each text, in order."""
+        group: list[bytes] = []
+        size = 0
+        for text in texts:
+            data = small_letters(text, [], "replace") if self.lower else text.encode("utf-8", "replace")
+            if any(special in data for special in self.specials):
+                yield from self._group(group)
+                yield self.by_library(text)
+                group, size = [], 0
+                continue
+            group.append(data)
+            size += len(data)
+            if size > GROUP_BYTES:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, group: list[bytes]) -> Iterator[bytes]:
+        """Ids of UTF-8 texts without special strings."""
+        split = pc.ascii_split_whitespace(pa.array(group, pa.binary()).view(pa.string()))
+        pieces = split.flatten().dictionary_encode()
+        found = list(map(self.ids.__getitem__, pieces.dictionary.view(pa.binary()).to_pylist()))
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        # For each place of a piece, where its ids begin, and where those of the next place will be.
+        place = pieces.indices.to_numpy()
+        count = sizes[place]
+        ends = np.cumsum(count)
+        source = np.repeat((np.cumsum(sizes) - sizes)[place] - ends + count, count)
+        source += np.arange(len(source))
+        data = ids[source].tobytes()
+        borders = 4 * np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        for start, end in pairwise(borders.tolist()):
+            yield data[start:end]
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -107,8 +147,8 @@ def token_pieces(
         encoder = once_per_worker(("ids", tokenizer_path), lambda: IdEncoder(definition.value))
         for batch in batches:
             rows = []
-            for identity, text in zip(batch["doc_id"], texts(batch["text"]), strict=True):
-                ids = encoder.encode(text) + last
+            for identity, ids in zip(batch["doc_id"], encoder.encode(texts(batch["text"])), strict=True):
+                ids += last
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     piece = ids[4 * start : 4 * (start + capacity)]

@@ -81,20 +81,20 @@ def other_classes() -> dict[int, str]:
 
 
 @cache
-def late_marks() -> list[bytes]:
+def late_marks() -> list[str]:
     """Marks that become one character with a small letter of ASCII but not with its capital."""
 
     def composed(text: str) -> str:
         return unicodedata.normalize("NFC", text).lower()
 
     marks = [mark for mark in map(chr, range(0x110000)) if unicodedata.combining(mark)]
-    return [mark.encode() for mark in marks if any(composed(a.upper() + mark) != composed(a + mark) for a in ascii_lowercase)]
+    return [mark for mark in marks if any(composed(a.upper() + mark) != composed(a + mark) for a in ascii_lowercase)]
 
 
-def small_letters(text: str, specials: list[bytes]) -> bytes:
+def small_letters(text: str, specials: list[bytes], errors: str = "surrogatepass") -> bytes:
     """A text as UTF-8, with A-Z in small letters unless that would change what normal forms and small letters make of it, or make a special string."""
-    data = text.encode("utf-8", "surrogatepass")
-    if not text.isascii() and any(mark in data for mark in late_marks()):
+    data = text.encode("utf-8", errors)
+    if not text.isascii() and any(mark in text for mark in late_marks()):
         return data
     small = data.lower()
     return data if any(special in small for special in specials) else small

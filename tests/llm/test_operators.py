@@ -480,6 +480,45 @@ def test_packing(spark, odd, none):
     assert packing.pack_documents(none, queries.WORD_TOKENIZER).count() == 0
 
 
+def test_ids_of_many_texts(monkeypatch):
+    """Ids of texts looked up together equal the library's: groups, special strings, marks after capitals, other white space."""
+    from pathlib import Path
+
+    definition = Path(queries.WORD_TOKENIZER).read_text(encoding="utf-8")
+    many = ["", " \t\n", "The cat, the Cat. THE CAT!", "ÉCOLE école. École?", "a\x0bb\x1cc\x85d\u00a0e", "A <|ENDOFTEXT|> b", "x<|endoftext|>y", "", "你好 ΑΣ. Σ"]
+    many += [f"The {letter}{mark}, x{letter}{mark}Y." for letter in "AEHIJKTWYhjtwy" for mark in ("\u0301", "\u0308", "\u030a", "\u030c", "\u0323\u0308", "\u0331")]
+    many += ["don't DON'T 3.14 (x). --y", "word " * 50, *(text for _, text in documents()[:100])]
+    for most in (1, 1000, 10**9):
+        monkeypatch.setattr(packing, "GROUP_BYTES", most)
+        found = list(packing.IdEncoder(definition).encode(many))
+        assert len(found) == len(many)
+        for text, ids in zip(many, found, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == ids_of(text), ascii(text)
+    assert list(packing.IdEncoder(definition).encode([])) == []
+
+
+def test_packing_marks_after_capitals(spark):
+    odd = {1: "H\u0331 J\u030c", 2: "T\u0308A, w\u030a", 3: "Y\u030a."}
+    check_packing(packing.pack_documents(spark.createDataFrame(list(odd.items()), "doc_id long, text string"), queries.WORD_TOKENIZER).collect(), odd)
+
+
+def test_pieces_are_looked_up_once_a_group():
+    from pathlib import Path
+
+    encoder = packing.IdEncoder(Path(queries.WORD_TOKENIZER).read_text(encoding="utf-8"))
+    asked = []
+    real = encoder.ids
+
+    class Asked(dict):
+        def __missing__(self, piece):
+            asked.append(piece)
+            return real[piece]
+
+    encoder.ids = Asked()
+    assert b"".join(encoder.encode(["the Cat sat"] * 1000)) == 1000 * np.array(ids_of("the Cat sat"), "<u4").tobytes()
+    assert sorted(asked) == [b"cat", b"sat", b"the"]
+
+
 def test_shortest_pack_first():
     assert packing.pack_histogram({6: 1, 5: 1, 4: 2, 3: 1}, 10) == [((6, 4), 1), ((5, 4), 1), ((3,), 1)]
     histogram = {length: 1 + length % 7 for length in range(1, 513)}
