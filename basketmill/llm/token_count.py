@@ -92,7 +92,10 @@ def late_marks() -> list[str]:
 
 
 def small_letters(text: str, specials: list[bytes], errors: str = "surrogatepass") -> bytes:
-    """A text as UTF-8, with A-Z in small letters unless that would change what normal forms and small letters make of it, or make a special string."""
+    """A text as UTF-8, with A-Z in small letters.
+
+    As it stands if that would change what normal forms make of it, or make one of the special strings.
+    """
     data = text.encode("utf-8", errors)
     if not text.isascii() and any(mark in text for mark in late_marks()):
         return data
